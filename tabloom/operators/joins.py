@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when a bounded count proves it small; otherwise
+the join stays a shuffle join.  The check reads at most ``max_rows + 1``
+rows (``limit`` before ``count``), so it is cheap even on a huge input.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_rows) else df
