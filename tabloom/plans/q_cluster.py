@@ -1 +1,169 @@
-"""Registered queries for clustering and clustering metrics."""
+"""Registered queries for clustering models and clustering metrics.
+
+K1-K4 run on ``embeddings`` with its given labels and have DuckDB oracles;
+the models run on the 50,000-row weighted bootstrap sample of the cleaned
+accident table (lifecycle C) and are checked by row counts and tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabloom.operators import metrics as K
+from tabloom.operators.cluster.gmm import init_from_labels, log_likelihood
+from tabloom.operators.sweep import SPACES, random_trials, sweep
+from tabloom.plans import clustering as C
+from tabloom.plans import standins as S
+from tabloom.plans.registry import register
+
+DIMS = 64
+EMB_COLS = S.embedding_columns(DIMS)
+
+_UNNEST = ("SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, "
+           "generate_subscripts(embedding, 1) AS dim FROM embeddings")
+
+
+def _emb(spark, sf):
+    return S.embeddings(spark, sf, DIMS)
+
+
+@register("k1_silhouette", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.vec_id AS i, a.label AS li, b.label AS lj, list_distance(a.v, b.v) AS d
+          FROM e a, e b),
+per AS (SELECT i, li, lj, sum(d) AS s, count(*) AS c FROM pairs GROUP BY i, li, lj),
+ab AS (SELECT i, max(CASE WHEN lj = li THEN c END) AS c_own,
+              max(CASE WHEN lj = li AND c > 1 THEN s / (c - 1) END) AS a,
+              min(CASE WHEN lj <> li THEN s / c END) AS b FROM per GROUP BY i)
+SELECT round(avg(CASE WHEN c_own <= 1 OR b IS NULL THEN 0.0
+                      WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END), 6)
+       AS silhouette FROM ab""")
+def _k1(spark, sf):
+    return K.silhouette(_emb(spark, sf), "vec_id", EMB_COLS, "label").select(
+        F.round("silhouette", 6).alias("silhouette"))
+
+
+_CENT = f"""e AS ({_UNNEST}),
+c AS (SELECT label, dim, avg(x) AS cx, count(*) AS nk FROM e GROUP BY label, dim)"""
+
+
+@register("k2_calinski_harabasz", f"""
+WITH {_CENT},
+g AS (SELECT dim, avg(x) AS gx FROM e GROUP BY dim),
+b AS (SELECT sum(c.nk * (c.cx - g.gx) * (c.cx - g.gx)) AS between_ss FROM c JOIN g USING (dim)),
+w AS (SELECT sum((e.x - c.cx) * (e.x - c.cx)) AS within_ss FROM e JOIN c USING (label, dim)),
+k AS (SELECT count(DISTINCT label) AS k, count(*) AS n FROM embeddings)
+SELECT round(CASE WHEN within_ss = 0 THEN 1.0
+                  ELSE (between_ss / (k - 1)) / (within_ss / (n - k)) END, 6) AS calinski_harabasz
+FROM b, w, k""")
+def _k2(spark, sf):
+    return K.calinski_harabasz(_emb(spark, sf), EMB_COLS, "label").select(
+        F.round("calinski_harabasz", 6).alias("calinski_harabasz"))
+
+
+@register("k3_davies_bouldin", f"""
+WITH {_CENT},
+pd AS (SELECT e.vec_id, e.label, sqrt(sum((e.x - c.cx) * (e.x - c.cx))) AS dist
+       FROM e JOIN c USING (label, dim) GROUP BY e.vec_id, e.label),
+s AS (SELECT label, avg(dist) AS s FROM pd GROUP BY label),
+dd AS (SELECT a.label AS i, b.label AS j, sqrt(sum((a.cx - b.cx) * (a.cx - b.cx))) AS d
+       FROM c a JOIN c b ON a.dim = b.dim AND a.label <> b.label GROUP BY a.label, b.label),
+r AS (SELECT dd.i, max((si.s + sj.s) / dd.d) AS r
+      FROM dd JOIN s si ON si.label = dd.i JOIN s sj ON sj.label = dd.j GROUP BY dd.i)
+SELECT round(avg(r), 6) AS davies_bouldin FROM r""")
+def _k3(spark, sf):
+    return K.davies_bouldin(_emb(spark, sf), EMB_COLS, "label").select(
+        F.round("davies_bouldin", 6).alias("davies_bouldin"))
+
+
+K4_REG = 1e-6
+
+
+@register("k4_bic_label_mixture", f"""
+WITH e AS ({_UNNEST}),
+n AS (SELECT count(*) AS n FROM embeddings),
+p AS (SELECT label, count(*) / (SELECT n FROM n) AS w FROM embeddings GROUP BY label),
+c AS (SELECT label, dim, avg(x) AS mu, avg(x * x) - avg(x) * avg(x) + {K4_REG!r} AS var
+      FROM e GROUP BY label, dim),
+lp AS (SELECT e.vec_id, c.label AS j,
+              sum(-0.5 * (ln(2 * pi()) + ln(c.var) + (e.x - c.mu) * (e.x - c.mu) / c.var)) AS lq
+       FROM e JOIN c ON e.dim = c.dim GROUP BY e.vec_id, c.label),
+lw AS (SELECT lp.vec_id, lp.lq + ln(p.w) AS l FROM lp JOIN p ON p.label = lp.j),
+mx AS (SELECT vec_id, max(l) AS m FROM lw GROUP BY vec_id),
+lse AS (SELECT lw.vec_id, mx.m + ln(sum(exp(lw.l - mx.m))) AS v FROM lw JOIN mx USING (vec_id)
+        GROUP BY lw.vec_id, mx.m),
+k AS (SELECT count(DISTINCT label) AS k FROM embeddings)
+SELECT round(sum(v), 4) AS log_likelihood,
+       round(-2 * sum(v) + (2 * k * {DIMS} + k - 1) * ln((SELECT n FROM n)), 4) AS bic
+FROM lse, k GROUP BY k""")
+def _k4(spark, sf):
+    """BIC of the diagonal mixture whose components are the given labels."""
+    df = _emb(spark, sf)
+    k = df.select("label").distinct().count()
+    m = init_from_labels(df, EMB_COLS, "label", k, K4_REG)
+    row = log_likelihood(df, EMB_COLS, m).first()
+    ll, n = row["log_likelihood"], row["n"]
+    return spark.createDataFrame(
+        [(round(ll, 4), round(K.bic(ll, n, k, DIMS, "diag"), 4))],
+        "log_likelihood double, bic double")
+
+
+# ------------------------------------------------------------------ models
+@register("cluster_features")
+def _cf(spark, sf):
+    """P2, P1, E3, P10, Z1 on the cleaned accident table."""
+    from tabloom.plans.cleaning import clean_accidents
+    return C.cluster_features(clean_accidents(S.accidents(spark, sf)))[0]
+
+
+@register("cluster_sample")
+def _cs(spark, sf):
+    """The 50,000-row weighted bootstrap of the scaled features."""
+    return C.clustering_sample(spark, sf)[0]
+
+
+def _model_query(name: str, model: str):
+    @register(name)
+    def _q(spark, sf):
+        sample, names = C.clustering_sample(spark, sf)
+        return C.run_model(sample, names, model).select("row_id", "weight", "prediction")
+    _q.__doc__ = f"{model} labels of the weighted 50,000-row accident sample."
+    return _q
+
+
+_model_query("c1_kmeans", "kmeans")
+_model_query("c2_gaussian_mixture", "gmm")
+_model_query("c3_dbscan", "dbscan")
+_model_query("c4_birch", "birch")
+
+
+def _score_query(name: str, model: str):
+    @register(name)
+    def _q(spark, sf):
+        sample, names = C.clustering_sample(spark, sf)
+        labelled = C.run_model(sample, names, model)
+        return C.scores(labelled, names, model)
+    _q.__doc__ = f"K1-K3 of {model} on the weighted accident sample."
+    return _q
+
+
+_score_query("kmeans_scores", "kmeans")
+_score_query("gmm_scores", "gmm")
+_score_query("dbscan_scores", "dbscan")
+_score_query("birch_scores", "birch")
+
+
+@register("h1_sweep_kmeans")
+def _h1(spark, sf):
+    """Four seeded random trials of the k-means space, silhouette maximised."""
+    sample, names = C.clustering_sample(spark, sf)
+
+    def objective(params):
+        labelled = C.run_model(sample, names, "kmeans", params)
+        n_clusters = labelled.select("prediction").distinct().count()
+        if n_clusters < 2:
+            return -1.0, n_clusters
+        sil = K.silhouette(labelled, "row_id", names, "prediction", "weight").first()[0]
+        return sil, n_clusters
+
+    return sweep(spark, random_trials(SPACES["kmeans"], 4, seed=42), objective, "maximize")
