@@ -17,6 +17,7 @@ from tabloom.operators.cluster.gmm import fit_diagonal_mixture, predict
 from tabloom.operators.cluster.kmeans import fit_kmeans
 from tabloom.operators.columns import col, drop_strict
 from tabloom.operators.encode import dummies, fit_categories
+from tabloom.operators.rows import drop_rows_any_missing
 from tabloom.operators.metrics import calinski_harabasz, davies_bouldin, silhouette
 from tabloom.operators.scale import apply_scaler, fit_scaler
 from tabloom.operators.split import bootstrap
@@ -46,14 +47,17 @@ BIRCH = {"threshold": 2.8985317784980644, "branching_factor": 222, "n_clusters":
 
 
 def cluster_features(processed: DataFrame):
-    """(scaled feature frame, feature names).  Rows with a missing value in
-    a kept column are not expected (the cleaning plan drops them)."""
+    """(scaled feature frame, feature names).
+
+    Rows with a missing kept feature are dropped before scaling: cleaning
+    drops incomplete rows before the unit conversion, so text that is not a
+    number still arrives here as a missing value, which no model accepts."""
     reduced = drop_strict(processed, CLUSTER_DROP)
     cats = fit_categories(reduced, [DUMMY_COLUMN])
     dummy = dummies(cats, drop_first=True, prefix={DUMMY_COLUMN: DUMMY_COLUMN}, dtype="double")
     num = [col(c).cast("double").alias(c) for c in CLUSTER_NUMERIC]
     flags = [col(c).cast("int").cast("double").alias(c) for c in CLUSTER_BOOL]
-    frame = reduced.select(*num, *flags, *dummy)
+    frame = drop_rows_any_missing(reduced.select(*num, *flags, *dummy))
     names = frame.columns
     frame = apply_scaler(frame, fit_scaler(frame, names))
     return frame, names
@@ -107,8 +111,17 @@ def run_model(sample: DataFrame, names: list[str], model: str, params: dict | No
     raise ValueError(model)
 
 
+_SAMPLES: dict = {}
+
+
 def clustering_sample(spark: SparkSession, sf_dir: str):
+    """The checkpointed sample of the accident stand-in, built once per
+    session and input folder and shared by the clustering queries (the
+    reference repeats this block in four scripts)."""
     from tabloom.plans import standins as S
     from tabloom.plans.cleaning import clean_accidents
-    return cluster_sample(clean_accidents(S.accidents(spark, sf_dir)))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SAMPLES:
+        _SAMPLES[key] = cluster_sample(clean_accidents(S.accidents(spark, sf_dir)))
+    return _SAMPLES[key]
 
