@@ -26,8 +26,11 @@ def any_missing(df: DataFrame, cols: list[str] | None = None) -> Column:
 
 
 def drop_rows_any_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """keep rows with no NULL (nor NaN) in ``cols`` (default: all)."""
-    return df.filter(~any_missing(df, cols))
+    """keep rows with no NULL (nor NaN) in ``cols`` (default: all).
+
+    ``na.drop`` plans one compact ``AtLeastNNonNulls`` test (NaN counts as
+    missing), which keeps wide rows inside whole-stage code generation."""
+    return df.na.drop(how="any", subset=cols if cols is not None else df.columns)
 
 
 def row_loss_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -27,6 +27,7 @@ from row positions):
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -168,7 +169,18 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A driver table, spread over the session's parallelism when its scan
+    yields fewer partitions.
+
+    The driver's parquet files hold one row group each, which a scan cannot
+    split, so every row would otherwise be processed by one task.  On a
+    real table (many row groups, more splits than cores) this is a no-op.
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def to_spark_sql(sql: str) -> str:
@@ -177,7 +189,14 @@ def to_spark_sql(sql: str) -> str:
 
 
 def spark_standin(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    refs = {t: f"parquet.`{table_path(sf_dir, t)}`" for t in TABLES}
+    refs = {}
+    for t in TABLES:
+        if "{" + t + "}" in sql:
+            view = f"tabloom_{t}_{zlib.crc32(sf_dir.encode())}"
+            load_table(spark, sf_dir, t).createOrReplaceTempView(view)
+            refs[t] = view
+        else:
+            refs[t] = t
     return spark.sql(to_spark_sql(sql.format(**refs)))
 
 

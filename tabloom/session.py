@@ -22,6 +22,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE may coalesce small shuffles, but not below 256 KB per partition:
+    # stages after a small shuffle are often CPU-heavy (parsing, encoding),
+    # and a 1 MB floor leaves most cores idle on them.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcast joins are chosen explicitly, behind a size check
     # (``tabloom.operators.joins``); the planner's own threshold stays
