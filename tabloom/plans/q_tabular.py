@@ -502,19 +502,21 @@ def _a4(spark, sf):
     return A.sentinel_counts(S.crashes(spark, sf))
 
 
-def _r6(x: str) -> str:
-    return f"round({x}, 6)"
+def _r8(x: str) -> str:
+    # 8 places: the stand-in's values are multiples of 0.05, so means have
+    # short exact decimals whose 7th place may be a tie for 6-place rounding
+    return f"round({x}, 8)"
 
 
 @register("a5_describe_numeric", _with(cr=CRASH) + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count({c}) AS count, {_r6(f'avg({c})')} AS mean, "
-    f"{_r6(f'stddev_samp({c})')} AS std, CAST(min({c}) AS DOUBLE) AS min, "
-    f"{_r6(f'quantile_cont({c}, 0.25)')} AS q25, {_r6(f'quantile_cont({c}, 0.5)')} AS q50, "
-    f"{_r6(f'quantile_cont({c}, 0.75)')} AS q75, CAST(max({c}) AS DOUBLE) AS max FROM cr"
+    f"SELECT '{c}' AS column_name, count({c}) AS count, {_r8(f'avg({c})')} AS mean, "
+    f"{_r8(f'stddev_samp({c})')} AS std, CAST(min({c}) AS DOUBLE) AS min, "
+    f"{_r8(f'quantile_cont({c}, 0.25)')} AS q25, {_r8(f'quantile_cont({c}, 0.5)')} AS q50, "
+    f"{_r8(f'quantile_cont({c}, 0.75)')} AS q75, CAST(max({c}) AS DOUBLE) AS max FROM cr"
     for c in CRASH_NUMERIC))
 def _a5(spark, sf):
     out = A.describe_numeric(S.crashes(spark, sf), CRASH_NUMERIC)
-    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
+    return out.withColumns({c: F.round(c, 8) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
 @register("a6_describe_strings", _with(
