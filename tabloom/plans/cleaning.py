@@ -14,6 +14,8 @@ step.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ DROP_MISSING_COL_THRESHOLD = 0.40
 
 def plan_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
                   share: float = LENIENT_AFTER_SHARE, fmt: str = STRICT_FORMAT):
-    """One aggregate job -> (parsed expressions per date column, dropped columns)."""
+    """One aggregate job -> ({date column: "strict" | "lenient"}, dropped columns)."""
     dates = [c for c in datetime_like_columns(df) if not is_datetime(df, c)]
     parsed_strict = {c: strict_parse(col(c), fmt) for c in dates}
     parsed_lenient = {c: lenient_parse(col(c)) for c in dates}
@@ -49,7 +51,7 @@ def plan_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
         if c in parsed_strict:
             strict_share = row[f"s{i}"]
             lenient = strict_share is not None and strict_share > share
-            chosen[c] = parsed_lenient[c] if lenient else parsed_strict[c]
+            chosen[c] = "lenient" if lenient else "strict"
             miss = row[f"l{i}"] if lenient else strict_share
         else:
             miss = row[f"m{i}"]
@@ -58,19 +60,45 @@ def plan_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
     return chosen, dropped
 
 
-def clean_accidents(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
-                    text_columns=TEXT_DROP_CANDIDATES) -> DataFrame:
-    df = drop_tolerant(df, list(text_columns))
-    chosen, dropped = plan_cleaning(df, threshold)
-    df = df.withColumns({c: e for c, e in chosen.items()}).drop(*dropped)
+@dataclass(frozen=True)
+class CleaningPlan:
+    """What the data decided: parse mode per date-like text column, and the
+    sparse columns to drop.  Small, serialisable, reusable on new data
+    (e.g. a stream) without touching old data again."""
+    parse: dict            # column -> "strict" | "lenient"
+    dropped: tuple
+    text_columns: tuple = TEXT_DROP_CANDIDATES
+    fmt: str = STRICT_FORMAT
+
+
+def fit_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
+                 text_columns=TEXT_DROP_CANDIDATES) -> CleaningPlan:
+    """One aggregate job over ``df``."""
+    base = drop_tolerant(df, list(text_columns))
+    modes, dropped = plan_cleaning(base, threshold)
+    return CleaningPlan(parse=modes, dropped=tuple(dropped), text_columns=tuple(text_columns))
+
+
+def apply_cleaning(df: DataFrame, plan: CleaningPlan) -> DataFrame:
+    """Projection + filter only (no job): works on batch and streaming frames."""
+    df = drop_tolerant(df, list(plan.text_columns))
+    exprs = {c: (lenient_parse(col(c)) if mode == "lenient" else strict_parse(col(c), plan.fmt))
+             for c, mode in plan.parse.items() if c in df.columns}
+    df = df.withColumns(exprs).drop(*plan.dropped)
     df = drop_rows_any_missing(df)
     df = add_time_features(df)
     return convert_imperial_to_metric(df)
 
 
+def clean_accidents(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
+                    text_columns=TEXT_DROP_CANDIDATES) -> DataFrame:
+    """The flagship: fit the plan (one aggregate), then one projection."""
+    return apply_cleaning(df, fit_cleaning(df, threshold, text_columns))
+
+
 def clean_accidents_report(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
                            text_columns=TEXT_DROP_CANDIDATES) -> dict:
     """The decisions the cleaning took, for logging/tests."""
     df = drop_tolerant(df, list(text_columns))
-    chosen, dropped = plan_cleaning(df, threshold)
-    return {"parsed": sorted(chosen), "dropped": dropped}
+    modes, dropped = plan_cleaning(df, threshold)
+    return {"parse": modes, "dropped": dropped}

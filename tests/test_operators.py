@@ -187,3 +187,20 @@ def test_leakage_guard(spark):
                                                   "`Distance(mi)` int, keep int")
     out, dropped, ok = P.leakage_guard(df, "y")
     assert out.columns == ["keep"] and ok
+
+
+def test_cleaning_plan_and_stream_match_batch(spark):
+    from tabloom.plans import standins as S
+    from tabloom.plans.cleaning import apply_cleaning, fit_cleaning
+    from tabloom.session import scratch_path
+    from tabloom.streaming.cleaning import run_to_completion
+    raw = S.accidents(spark, "/root/testdata/sf0.001")
+    plan = fit_cleaning(raw)
+    assert plan.parse == {"Start_Time": "lenient", "End_Time": "strict"}
+    assert set(plan.dropped) == {"End_Lat", "End_Lng"}
+    batch = apply_cleaning(raw, plan)
+    src = scratch_path(spark, "stream-src")
+    raw.repartition(3).write.parquet(src)
+    streamed = run_to_completion(spark, src, raw.schema, plan)
+    assert streamed.count() == batch.count() > 0
+    assert batch.exceptAll(streamed.select(*batch.columns)).count() == 0
