@@ -39,7 +39,8 @@ def run_to_completion(spark: SparkSession, source_dir: str, schema, plan: Cleani
                       ) -> DataFrame:
     """Process every file present now, then read the sink back."""
     query, data = clean_stream(spark, source_dir, schema, plan, available_now=True)
-    query.awaitTermination()
+    while query.isActive:          # short waits, not one long blocking call
+        query.awaitTermination(1)
     if query.exception() is not None:
         raise query.exception()
     return spark.read.parquet(data)
