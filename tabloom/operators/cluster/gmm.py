@@ -108,16 +108,26 @@ def sufficient_stats(df: DataFrame, features: list[str], m: DiagonalMixture,
     return N, S, Q, float(vals[-2]), float(vals[-1])
 
 
-def m_step(N, S, Q, n, reg) -> DiagonalMixture:
+COVARIANCE_TYPES = ("diag", "spherical")
+
+
+def m_step(N, S, Q, n, reg, covariance: str = "diag") -> DiagonalMixture:
+    """``diag``: one variance per component and dimension; ``spherical``:
+    their mean over dimensions, one variance per component."""
+    if covariance not in COVARIANCE_TYPES:
+        raise NotImplementedError(f"covariance type {covariance!r}")
     nk = N + _EPS10
     means = S / nk[:, None]
     var = Q / nk[:, None] - means ** 2 + reg
     var = np.maximum(var, reg)
+    if covariance == "spherical":
+        var = np.repeat(var.mean(axis=1, keepdims=True), var.shape[1], axis=1)
     return DiagonalMixture(weights=nk / n, means=means, variances=var)
 
 
 def init_from_labels(df: DataFrame, features: list[str], label: str, k: int,
-                     reg: float, weight: str | None = None) -> DiagonalMixture:
+                     reg: float, weight: str | None = None,
+                     covariance: str = "diag") -> DiagonalMixture:
     """M-step from hard labels 0..k-1 (one grouped aggregate)."""
     w = _w(weight)
     aggs = [F.sum(w).alias("N")]
@@ -130,13 +140,13 @@ def init_from_labels(df: DataFrame, features: list[str], label: str, k: int,
     N = np.array([rows[j]["N"] if j in rows else 0.0 for j in range(k)], dtype=float)
     S = np.array([[rows[j][f"S{i}"] if j in rows else 0.0 for i in range(d)] for j in range(k)])
     Q = np.array([[rows[j][f"Q{i}"] if j in rows else 0.0 for i in range(d)] for j in range(k)])
-    return m_step(N, S, Q, N.sum(), reg)
+    return m_step(N, S, Q, N.sum(), reg, covariance)
 
 
 def fit_diagonal_mixture(df: DataFrame, features: list[str], k: int, reg: float = 1e-6,
                          seed: int = 42, tol: float = 1e-3, max_iter: int = 100,
-                         weight: str | None = None, init_label: str | None = None
-                         ) -> DiagonalMixture:
+                         weight: str | None = None, init_label: str | None = None,
+                         covariance: str = "diag") -> DiagonalMixture:
     """EM from k-means labels (or ``init_label``); ``df`` should be cached."""
     if init_label is None:
         from tabloom.operators.cluster.kmeans import fit_kmeans
@@ -144,12 +154,12 @@ def fit_diagonal_mixture(df: DataFrame, features: list[str], k: int, reg: float
         init_label = "prediction"
     else:
         labelled = df
-    m = init_from_labels(labelled, features, init_label, k, reg, weight)
+    m = init_from_labels(labelled, features, init_label, k, reg, weight, covariance)
     prev = -math.inf
     for it in range(1, max_iter + 1):
         N, S, Q, ll, n = sufficient_stats(df, features, m, weight)
         bound = ll / n
-        m_new = m_step(N, S, Q, n, reg)
+        m_new = m_step(N, S, Q, n, reg, covariance)
         m_new.n, m_new.n_iter = n, it
         change = bound - prev
         prev = bound

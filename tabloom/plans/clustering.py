@@ -100,7 +100,7 @@ def run_model(sample: DataFrame, names: list[str], model: str, params: dict | No
     if model == "gmm":
         p = {**MIXTURE, **(params or {})}
         m = fit_diagonal_mixture(sample, names, p["k"], reg=p["reg"], seed=SEED,
-                                 weight="weight")
+                                 weight="weight", covariance=p["covariance"])
         return predict(sample, names, m)
     if model == "dbscan":
         p = {**DBSCAN, **(params or {})}

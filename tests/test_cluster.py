@@ -197,3 +197,12 @@ def test_accuracy_and_regression_metrics(spark):
     assert r["r2"] == pytest.approx(0.2)
     assert K.accuracy(df).first()[0] == 0.75
     assert F is not None
+
+
+def test_spherical_mixture_shares_variance(spark):
+    rng = np.random.default_rng(7)
+    X = np.vstack([rng.normal(0, [1, 3], (60, 2)), rng.normal(6, [1, 3], (60, 2))])
+    m = G.fit_diagonal_mixture(_frame(spark, X), ["f0", "f1"], 2, covariance="spherical")
+    assert np.allclose(m.variances[:, 0], m.variances[:, 1])
+    with pytest.raises(NotImplementedError):
+        G.m_step(np.ones(1), np.ones((1, 2)), np.ones((1, 2)), 1.0, 1e-6, "full")
