@@ -153,17 +153,26 @@ _score_query("dbscan_scores", "dbscan")
 _score_query("birch_scores", "birch")
 
 
-@register("h1_sweep_kmeans")
-def _h1(spark, sf):
-    """Four seeded random trials of the k-means space, silhouette maximised."""
-    sample, names = C.clustering_sample(spark, sf)
-
-    def objective(params):
-        labelled = C.run_model(sample, names, "kmeans", params)
-        n_clusters = labelled.select("prediction").distinct().count()
-        if n_clusters < 2:
-            return -1.0, n_clusters
-        sil = K.silhouette(labelled, "row_id", names, "prediction", "weight").first()[0]
-        return sil, n_clusters
-
-    return sweep(spark, random_trials(SPACES["kmeans"], 4, seed=42), objective, "maximize")
+def _sweep_query(name: str, model: str, n_trials: int = 4):
+    @register(name)
+    def _q(spark, sf):
+        sample, names = C.clustering_sample(spark, sf)
+
+        def objective(params):
+            labelled = C.run_model(sample, names, model, params)
+            n_clusters = labelled.filter(F.col("prediction") >= 0) \
+                .select("prediction").distinct().count()
+            if n_clusters < 2:
+                return -1.0, n_clusters
+            sil = K.silhouette(labelled, "row_id", names, "prediction", "weight").first()[0]
+            return sil, n_clusters
+
+        return sweep(spark, random_trials(SPACES[model], n_trials, seed=42), objective,
+                     "maximize")
+    _q.__doc__ = (f"{n_trials} seeded random trials of the {model} space on the weighted "
+                  "accident sample, silhouette maximised (fewer than 2 clusters: -1).")
+    return _q
+
+
+_sweep_query("h1_sweep_kmeans", "kmeans")
+_sweep_query("h1_sweep_birch", "birch")
