@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloom.operators import metrics as K
-from tabloom.operators.cluster.gmm import init_from_labels, log_likelihood
+from tabloom.operators.cluster.gmm import fit_diagonal_mixture, init_from_labels, log_likelihood
 from tabloom.operators.sweep import SPACES, random_trials, sweep
 from tabloom.plans import clustering as C
 from tabloom.plans import standins as S
@@ -176,3 +176,18 @@ def _sweep_query(name: str, model: str, n_trials: int = 4):
 
 _sweep_query("h1_sweep_kmeans", "kmeans")
 _sweep_query("h1_sweep_birch", "birch")
+
+
+@register("k4_gmm_bic")
+def _k4_fit(spark, sf):
+    """BIC of the tuned diagonal mixture fitted on the weighted accident
+    sample (the reference's mixture search objective)."""
+    sample, names = C.clustering_sample(spark, sf)
+    p = C.MIXTURE
+    m = fit_diagonal_mixture(sample, names, p["k"], reg=p["reg"], seed=C.SEED,
+                             weight="weight", covariance=p["covariance"])
+    return spark.createDataFrame(
+        [(p["k"], p["covariance"], m.n_iter, bool(m.converged), float(m.log_likelihood),
+          float(K.bic(m.log_likelihood, m.n, p["k"], len(names), p["covariance"])))],
+        "k int, covariance string, n_iter int, converged boolean, log_likelihood double, "
+        "bic double")
