@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,8 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` (or the SparkContext's directory).  Only
-    when neither is set -- a local test session -- a fresh folder under the
-    system temp directory is created and registered.
+    when neither is set and the master is local -- a test session -- a fresh
+    folder under the system temp directory is created and registered.  On a
+    cluster a missing setting is an error: a machine-local folder would lose
+    data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,11 +70,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per context.
+
+    Kernels of the Python operators are pickled by module name, so workers
+    must be able to import the package wherever they start.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tabloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):
+        out = os.path.join(tempfile.mkdtemp(prefix="tabloom-src-"), "tabloom.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in sorted(os.walk(root)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("tabloom", os.path.relpath(full, root)))
+        sc.addPyFile(out)
+    sc._tabloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
