@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ann, exact_dedup, mixing, near_dedup, packing, url_filter
+from tabloom.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, url_filter
 from tabloom.llm.common import LOWER, UPPER, WORD_PATTERN_SQL, table
 
 # The rules of the URL contract.
@@ -140,3 +140,9 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under shingle similarity of 0.85."""
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, threshold and decision of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
