@@ -5,11 +5,11 @@
 2. Documents with one set are one class; its smallest id stands for it.
 3. Classes that share a band key are candidates.  First each member of a
    bucket meets four pivots of the bucket (the members first in four global
-   random orders, so one group has the same pivots in every band).  After
-   the links found are closed to components, the members that are still
-   apart from their bucket's main component meet every member of another
-   component.  No pair inside one component is ever made in that step, and
-   no pair of different components is left out.
+   random orders, so one group has the same pivots in every band).  The
+   links found are closed to components.  In buckets that still hold more
+   than one component, every pair of different components is decided too:
+   as candidate pairs in buckets of up to 24 members, and in larger ones on
+   full sets in blocks of members, which return links but no pairs.
 4. Verification compares 32 min-hashes at a time.  With a uniform prior the
    posterior of the similarity after n comparisons with m matches is
    Beta(m + 1, n - m + 1); a pair whose posterior chance of reaching the
@@ -47,6 +47,8 @@ BATCH = 32            # min-hashes compared at a time
 MISS = 1e-6           # chance of pruning a pair that reaches the threshold
 PIVOTS = 4
 CACHE_WORDS = 300_000
+SMALL = 24            # members of a bucket whose pairs are made as rows
+BLOCK = 256           # members of a block of a larger bucket
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes; past it the ids join by a shuffle
 
 _RNG = np.random.default_rng(20240601)
@@ -190,12 +192,22 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     both = both.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     left = stage_table(both.select("a", "b", "lanes_a", "lanes_b").mapInPandas(
         prune, "a long, b long"), "survivors")
-    ids = stage_table(left.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
+    items = full_sets(left.select(F.explode(F.array("a", "b")).alias("id")).distinct(), classes,
+                      docs, id_col, text_col)
+    full = (left.join(items.toDF("a", "items_a"), "a").join(items.toDF("b", "items_b"), "b"))
+    shared = full.select("a", "b", (F.size("items_a") + F.size("items_b")).alias("sum"),
+                         F.size(F.array_intersect("items_a", "items_b")).alias("both"))
+    return shared.where(f"100 * both >= {percent} * (sum - both)").select("a", "b")
+
+
+def full_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
+              text_col: str) -> DataFrame:
+    """(doc_id, items) of the classes with these ids: their sets, made anew."""
+    ids = stage_table(ids, "needed")
     wanted = classes.join(ids, classes["doc_id"] == ids["id"], "left_semi").select(
         "doc_id", "digest")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n_ids = ids.count()
-    needed = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
+    needed = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = texts.join(needed, texts["doc_id"] == needed["id"], "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,12 +219,73 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
                 names=["doc_id", "digest", "items"])
 
     items = texts.mapInArrow(sets, "doc_id long, digest binary, items array<long>")
-    items = stage_table(items.join(wanted, ["doc_id", "digest"], "left_semi")
-                        .dropDuplicates(["doc_id"]).select("doc_id", "items"), "sets")
-    full = (left.join(items.toDF("a", "items_a"), "a").join(items.toDF("b", "items_b"), "b"))
-    shared = full.select("a", "b", (F.size("items_a") + F.size("items_b")).alias("sum"),
-                         F.size(F.array_intersect("items_a", "items_b")).alias("both"))
-    return shared.where(f"100 * both >= {percent} * (sum - both)").select("a", "b")
+    return stage_table(items.join(wanted, ["doc_id", "digest"], "left_semi")
+                       .dropDuplicates(["doc_id"]).select("doc_id", "items"), "sets")
+
+
+def block_links(sets: list[np.ndarray], side: np.ndarray, comp: np.ndarray,
+                percent: int) -> list[tuple[int, int]]:
+    """Links that join components among one block's members, decided on
+    their full sets; at most one per pair of components, and no cycles.
+
+    Shingles of a single member meet nothing; the others are the columns of
+    a 0/1 matrix whose products count the intersections.  ``side`` 0 and 1:
+    members of the two blocks (pairs across only, if both are there).
+    """
+    size = np.array([len(s) for s in sets])
+    names, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    keep = uses[column] > 1
+    owner, column = owner[keep], column[keep]
+    ranks = np.cumsum(uses > 1) - 1
+    column = ranks[column]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for lo in range(0, int(column.max(initial=-1)) + 1, 4096):
+        part = (column >= lo) & (column < lo + 4096)
+        m = np.zeros((len(sets), 4096), dtype=np.float32)
+        m[owner[part], column[part] - lo] = 1
+        both += m @ m.T
+    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    linked &= comp[:, None] < comp[None, :]  # symmetric so far: one of two suffices
+    if side.any() and not side.all():
+        linked &= side[:, None] != side[None, :]
+    x, y = np.nonzero(linked)
+    parent: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = []
+    for cx, cy in np.unique(np.stack([comp[x], comp[y]], axis=1), axis=0).tolist():
+        if top(cx) != top(cy):
+            parent[top(cx)] = top(cy)
+            out.append((cx, cy))
+    return out
+
+
+def links_in_blocks(members: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between components, found inside large buckets.
+
+    ``members``: key, n (of the bucket), doc_id, c (component).  A bucket is
+    cut into blocks of about BLOCK members and every two blocks meet in one
+    group, so a group's rows are bounded and no pair becomes a row.
+    """
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(7)), parts).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"),
+                         F.greatest("own", "other").alias("j"), "own", "doc_id", "c")
+    dealt = dealt.join(items, "doc_id")
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = block_links([np.asarray(v, dtype=np.int64) for v in pdf["items"]],
+                          (pdf["own"] == pdf["j"]).to_numpy(), pdf["c"].to_numpy(), percent)
+        return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("key", "i", "j").applyInPandas(kernel, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -264,7 +337,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              for i in range(PIVOTS)]
     pivots = buckets.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), *[F.min(o)["p"].alias(f"p{i}") for i, o in enumerate(order)])
-    pivots = stage_table(pivots.where("n > 1").select("key", F.array_distinct(F.array(
+    pivots = stage_table(pivots.where("n > 1").select("key", "n", F.array_distinct(F.array(
         *[f"p{i}" for i in range(PIVOTS)])).alias("pivots")), "pivots")
     members = stage_table(buckets.join(pivots, "key"), "members")
     pairs = members.select(F.col("doc_id"), F.explode("pivots").alias("p")).where("doc_id <> p")
@@ -273,25 +346,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = stage_table(verify(pairs, classes, docs, id_col, text_col, percent, miss), "links")
     found = stage_table(components(links), "components")
     # members apart from their bucket's main component
-    named = members.select("key", "doc_id").join(
+    named = members.select("key", "n", "doc_id").join(
         found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+        "key", "n", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     named = stage_table(named, "bucket-components")
-    sizes = named.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "c"))["c"].alias("main"),
-                                    F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    main = stage_table(main.select("key", "main"), "main-components")
-    mixed = stage_table(named.join(main, "key"), "mixed-buckets")
-    minor = mixed.where("c <> main").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"))
-    others = mixed.select("key", F.col("doc_id").alias("y"), F.col("c").alias("cy"))
-    apart = minor.join(others, "key").where("cx <> cy").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    mixed = stage_table(mixed.where("lo <> hi").select("key"), "mixed-keys")
+    mixed = stage_table(named.join(mixed, "key", "left_semi"), "mixed-buckets")
+    small = mixed.where(F.col("n") <= SMALL)
+    apart = small.select("key", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(
+        small.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb")), "key").where(
+        "a < b and ca <> cb").select("a", "b").distinct()
     apart = stage_table(apart.join(pairs, ["a", "b"], "left_anti"), "pairs-apart")
-    if not apart.isEmpty():
-        more = verify(apart, classes, docs, id_col, text_col, percent, miss)
-        links = stage_table(found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-                            .unionByName(more), "all-links")
-        found = stage_table(components(links), "components")
+    large = mixed.where(F.col("n") > SMALL)
+    items = full_sets(large.select(F.col("doc_id").alias("id")).distinct(), classes, docs, id_col,
+                      text_col)
+    more = verify(apart, classes, docs, id_col, text_col, percent, miss).unionByName(
+        links_in_blocks(large, items, percent))
+    more = stage_table(more, "more-links")
+    if not more.isEmpty():
+        found = stage_table(components(found.select(
+            F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)),
+            "components")
     classed = reps.join(found, reps["rep"] == found["id"], "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
     classed = stage_table(classed, "class-components")
