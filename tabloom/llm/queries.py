@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, url_filter
+from tabloom.llm import (ann, exact_dedup, license_scan, lm, mixing, near_dedup, packing, pii,
+                         quality, url_filter)
 from tabloom.llm.common import LOWER, UPPER, WORD_PATTERN_SQL, table
 
 # The rules of the URL contract.
@@ -15,6 +16,9 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
              ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
              ("net", "/fr/", "block")]
 
+# The registered query's key; a caller passes a secret of their own.
+PII_KEY = b"registered query"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -33,6 +37,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@register("op1_lm_score")
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, and its unigram base."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @register("op2_exact_dedup", f"""
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS h
            FROM documents)
@@ -45,6 +55,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+@register("op3_pii_surrogates")
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    return pii.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 _URL_SQL = """
 WITH a AS (
   SELECT page_id, coalesce(url, '') AS u FROM pages),
@@ -129,6 +145,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document, with coverage and spans."""
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op8_nearest")
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest rows of every hundredth vector."""
