@@ -47,6 +47,7 @@ BATCH = 32            # min-hashes compared at a time
 MISS = 1e-6           # chance of pruning a pair that reaches the threshold
 PIVOTS = 4
 CACHE_WORDS = 300_000
+FEW_EDGES = 400_000   # edges of 16 bytes that one task closes to components
 SMALL = 24            # members of a bucket whose pairs are made as rows
 BLOCK = 256           # members of a block of a larger bucket
 BROADCAST_IDS = 1_000_000  # ids of 8 bytes; past it the ids join by a shuffle
@@ -296,17 +297,24 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = stage_table(edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    # a checked, small edge list needs no exchange: one partition meets
+    # every grouping and join below; a longer one is shuffled
+    few = now.count() <= FEW_EDGES
     seen = None
     while True:
+        now = now.coalesce(1) if few else now
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both.coalesce(1) if few else both
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # after a large star every edge points down: u > v
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        small = small.select("u", F.col("m").alias("v")).unionByName(
-            small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = small.select("u", F.explode(F.array(
+            F.struct(F.col("u").alias("p"), F.col("m").alias("q")),
+            F.struct(F.col("v").alias("p"), F.col("m").alias("q")))).alias("e")).select(
+            F.col("e.p").alias("u"), F.col("e.q").alias("v")).where("u <> v")
         now = stage_table(small.distinct(), "edges")
         mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast(
             "decimal(38,0)"))).first())
@@ -337,8 +345,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              for i in range(PIVOTS)]
     pivots = buckets.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), *[F.min(o)["p"].alias(f"p{i}") for i, o in enumerate(order)])
-    pivots = stage_table(pivots.where("n > 1").select("key", "n", F.array_distinct(F.array(
-        *[f"p{i}" for i in range(PIVOTS)])).alias("pivots")), "pivots")
+    pivots = pivots.where("n > 1").select("key", "n", F.array_distinct(F.array(
+        *[f"p{i}" for i in range(PIVOTS)])).alias("pivots"))
     members = stage_table(buckets.join(pivots, "key"), "members")
     pairs = members.select(F.col("doc_id"), F.explode("pivots").alias("p")).where("doc_id <> p")
     pairs = stage_table(pairs.select(F.least("doc_id", "p").alias("a"),
@@ -351,7 +359,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "key", "n", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     named = stage_table(named, "bucket-components")
     mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    mixed = stage_table(mixed.where("lo <> hi").select("key"), "mixed-keys")
+    mixed = mixed.where("lo <> hi").select("key")
     mixed = stage_table(named.join(mixed, "key", "left_semi"), "mixed-buckets")
     small = mixed.where(F.col("n") <= SMALL)
     apart = small.select("key", F.col("doc_id").alias("a"), F.col("c").alias("ca")).join(
@@ -359,11 +367,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "a < b and ca <> cb").select("a", "b").distinct()
     apart = stage_table(apart.join(pairs, ["a", "b"], "left_anti"), "pairs-apart")
     large = mixed.where(F.col("n") > SMALL)
-    items = full_sets(large.select(F.col("doc_id").alias("id")).distinct(), classes, docs, id_col,
-                      text_col)
-    more = verify(apart, classes, docs, id_col, text_col, percent, miss).unionByName(
-        links_in_blocks(large, items, percent))
-    more = stage_table(more, "more-links")
+    more = None
+    if not apart.isEmpty():
+        more = verify(apart, classes, docs, id_col, text_col, percent, miss)
+    if not large.isEmpty():
+        items = full_sets(large.select(F.col("doc_id").alias("id")).distinct(), classes, docs,
+                          id_col, text_col)
+        inside = links_in_blocks(large, items, percent)
+        more = inside if more is None else more.unionByName(inside)
+    more = links.limit(0) if more is None else stage_table(more, "more-links")
     if not more.isEmpty():
         found = stage_table(components(found.select(
             F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)),
