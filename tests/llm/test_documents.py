@@ -1,0 +1,344 @@
+"""Operators on documents against brute force, with every odd case in."""
+import hashlib
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tabloom.llm import (exact_dedup, license_scan, lm, mixing, near_dedup, packing, pii, quality)
+from tabloom.llm.queries import tokenizer_path
+
+
+def words(t):
+    return (t or "").encode().lower().split()
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+def test_exact_dedup(docs, no_docs):
+    got = exact_dedup.decide(docs).collect()
+    groups = {}
+    for i, t in pairs(docs):
+        groups.setdefault((t or "").encode().lower(), []).append(i)
+    by = {hashlib.sha256(k).hexdigest(): v for k, v in groups.items()}
+    assert len(got) == docs.count()
+    for r in got:
+        ids = by[r["text_sha256"]]
+        keep = max(i for i in ids if i is not None)
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(ids), r["doc_id"] == keep)
+    kept = exact_dedup.dedup_documents(docs)
+    assert kept.columns == docs.columns and kept.count() == len(by)
+    assert exact_dedup.decide(no_docs).count() == 0
+    assert exact_dedup.dedup_documents(no_docs).count() == 0
+
+
+def test_misra_gries_finds_every_heavy_digest(spark):
+    rows = spark.range(4000).selectExpr("case when id % 3 = 0 then 'hot' when id % 5 = 0 then 'warm' "
+                                        "else cast(id as string) end as k")
+    got = {r["k"]: r["weight"] for r in exact_dedup.misra_gries(rows, "k", 8).collect()}
+    assert len(got) <= 9 and got["hot"] <= 1334
+    assert got["hot"] >= 1334 - 4000 / 9
+
+
+def test_mixing(spark, docs, no_docs):
+    got = mixing.copies(docs).collect()
+    assert len(got) == docs.count() and mixing.copies(no_docs).count() == 0
+    again = mixing.copies(docs.repartition(5)).collect()
+    key = lambda r: (str(r["doc_id"]), r["size"], r["copies"])
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    assert all(0 <= r["copies"] <= 2 and r["taken"] == r["copies"] * r["size"] for r in got)
+    assert sum({r["source"]: r["target"] for r in got}.values()) == pytest.approx(
+        min(1.5, 2) * sum(r["size"] for r in got))
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    assert out.count() == sum(r["copies"] for r in got)
+
+
+def test_mixing_follows_targets(spark):
+    rows = spark.range(3000).selectExpr(
+        "id as doc_id", "case when id % 3 = 0 then 'a' when id % 30 = 1 then 'b' else 'c' end as source",
+        "repeat('w ', cast(1 + pmod(xxhash64(id), 200) as int)) as text")
+    got = mixing.copies(rows).toPandas()
+    for _, g in got.groupby("source"):
+        assert g["taken"].sum() == pytest.approx(g["target"].iloc[0], rel=0.05)
+
+
+def test_packing(docs, no_docs):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_path())
+    ids = {}
+    for i, text in pairs(docs):
+        ids[i] = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+    got = packing.pack_documents(docs, tokenizer_path(), window=512, group_pieces=8).toPandas()
+    rows = Counter(i for i, _ in pairs(docs))
+    for r in got.itertuples():
+        i = None if r.doc_id != r.doc_id else int(r.doc_id)
+        part = ids[i][r.start:r.start + r.length]
+        assert zlib.crc32(part.tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[i])
+    assert got["length"].sum() == sum(len(ids[i]) * n for i, n in rows.items())
+    for _, g in got.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert list(g["offset"]) == list(g["length"].cumsum() - g["length"])
+        assert g["length"].sum() <= 512
+    seqs = packing.packed_sequences(docs, tokenizer_path(), window=512, group_pieces=8).collect()
+    assert all(len(r["input_ids"]) == 512 for r in seqs)
+    assert sum(r["n_tokens"] for r in seqs) == got["length"].sum()
+    assert packing.pack_documents(no_docs, tokenizer_path()).count() == 0
+
+
+def test_best_fit_decreasing():
+    rng = np.random.default_rng(1)
+    sizes = sorted(rng.integers(1, 65, 300).tolist(), reverse=True)
+    which, offset = packing.best_fit_decreasing(sizes, 64)
+    free = []                       # the same by search over all windows
+    for n, w, o in zip(sizes, which, offset):
+        fits = [f for f in free if f >= n]
+        best = min(fits) if fits else None
+        assert o == (64 - best if fits else 0)
+        if fits:
+            free.remove(best)
+        free.append((best if fits else 64) - n)
+    assert len(set(which)) == len(free)
+
+
+def brute_components(rows, percent=85):
+    sets = {}
+    for i, t in rows:
+        w = words(t)
+        if i is not None:
+            sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    top = {i: i for i in sets}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and sets[a] and 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                top[y] = x
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def test_near_dedup(docs, no_docs):
+    got = near_dedup.near_groups(docs).collect()
+    want = brute_components(pairs(docs))
+    assert len(got) == docs.count()
+    for r in got:
+        if r["doc_id"] is None:
+            assert r["component_id"] is None and r["kept"]
+        else:
+            assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]]
+            assert r["kept"] == (r["doc_id"] == r["component_id"])
+    assert near_dedup.dedup_documents(docs).columns == docs.columns
+    assert near_dedup.near_groups(no_docs).count() == 0
+
+
+def test_near_dedup_decides_a_large_group_near_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for k in rng.integers(0, 150, rng.integers(0, 5)):
+            w[k] = f"e{i}x{k}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = brute_components(rows)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df).collect()}
+    assert got == {i: c for i, (_, c) in want.items()}
+
+
+def test_block_links_agree_with_pairs():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 10**9, 60)
+    sets = [np.unique(np.r_[base[rng.random(60) > 0.06], rng.integers(0, 10**9, 2)])
+            for _ in range(40)]
+    got = near_dedup.block_links(sets, np.zeros(40, bool), np.arange(40), 85)
+    top = list(range(40))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a in range(40):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                top[find(a)] = find(b)
+    want = {frozenset(j for j in range(40) if find(j) == find(i)) for i in range(40)}
+    top = list(range(40))
+    for a, b in got:
+        top[find(a)] = find(b)
+    assert {frozenset(j for j in range(40) if find(j) == find(i)) for i in range(40)} == want
+
+
+def test_posterior_keeps_pairs_that_reach_the_threshold():
+    floor = near_dedup.least_matches(192, 0.85, 1e-6)
+    assert floor[192] < 0.85 * 192 and floor[32] < 0.85 * 32
+    a = np.zeros(192, "<u2").tobytes()
+    b = np.r_[np.zeros(20), np.ones(172)].astype("<u2").tobytes()
+    assert near_dedup.posterior_survivors([a, a], [a, b], floor).tolist() == [True, False]
+
+
+def test_language_model(spark, docs, no_docs):
+    got = lm.score(docs).collect()
+    train = [(i, t) for i, t in pairs(docs)
+             if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    c = Counter(w for _, t in train for w in [*words(t), b""])
+    n, v = sum(c.values()), len(c)
+    want = Counter()
+    for i, t in pairs(docs):
+        ws = [*words(t), b""]
+        base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)
+        want[(i, len(ws), sum(w in c for w in ws), round(base, 6))] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6))
+                   for r in got) == want
+    assert all(r["score"] < 0 and r["train_tokens"] == n for r in got)
+    assert lm.score(no_docs).count() == 0
+
+
+def test_language_model_is_normalised():
+    c = Counter({b"": 9, b"the": 30, **{f"w{i}".encode(): 1 + i % 3 for i in range(400)}})
+    top = sorted(c, key=lambda w: (-c[w], w))
+    stats = {}
+    for w in top[lm.HEADS:]:
+        s = stats.setdefault(lm._class_of(w), [0, 0, 0, 0])
+        s[0] += c[w]
+        s[1] += 1
+        s[2] += c[w] == 1
+        s[3] += c[w] == 2
+    v = lm.Vocabulary(top, [c[w] for w in top], sum(c.values()), len(c), stats)
+    w = lm.Weights(v)
+    ctx = np.array([[1, 2, 3]])
+    unit = 10 ** np.array([lm.unit_log10(w, ctx, np.array([u]))[0] for u in range(v.units)])
+    assert unit.sum() == pytest.approx(1, abs=1e-5)
+    # all words and the classes' unknown outcomes
+    total = sum(unit[v.out_of[k]] * 10 ** v.log_inside[k] for k in range(len(top)))
+    total += sum(unit[v.heads + k] * 10 ** v.log_unknown[k] for k in range(lm.CLASSES))
+    assert total == pytest.approx(1, abs=1e-5)
+
+
+def test_language_model_learns(spark):
+    lines = ["the cat sat on the mat", "le chat est sur la table"]
+    rows = [(i, " ".join([lines[i % 2]] * 30)) for i in range(140)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    held = got[got["held_out"]]
+    assert len(held) and held["score"].sum() > held["base_score"].sum()
+
+
+def test_quality(spark, docs, no_docs):
+    good = [(i, " ".join(f"g{(i * 7 + k * k) % 50}" for k in range(60)), "en") for i in range(400)]
+    bad = [(1000 + i, " ".join(f"Z{i}Q{k}!!" for k in range(60)), "en") for i in range(20)]
+    df = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)] + [(None, 1, 0), (1001, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    model, fitted = quality.fit(df, labels, train_docs=150)
+    sent = spark.sparkContext.broadcast(model)
+    scores = quality.score_documents(df, sent)
+    limits = quality.thresholds(scores, labels, fitted, least_docs=100)
+    ppl = {r["doc_id"]: r["perplexity"] for r in scores.collect()}
+    assert min(ppl[1000 + i] for i in range(20)) > limits[None]
+    assert sum(ppl[i] <= limits[None] for i in range(400)) >= 398
+    # after any history the model's words and the unknown word sum to 1
+    for history in ([], [b"g0"], [b"g0", b"g1"], [b"never"]):
+        ids = [quality.START, quality.START, *(model.ids.get(x, -1) for x in history)]
+        a, b = ids[-2:]
+        sum_known = sum(10 ** one(model, a, b, c) for c in [*model.ids.values(), -1])
+        sum_known += 10 ** one(model, a, b, quality.END)
+        assert sum_known == pytest.approx(1, abs=1e-3)
+    kept = quality.keep_documents(docs, labels)
+    assert kept.columns == docs.columns
+    assert quality.classify(no_docs, labels).count() == 0
+    none = labels.limit(0)
+    assert quality.keep_documents(docs, none).count() == docs.count()
+
+
+def one(model, a, b, c):
+    p = model.uni[c] if c >= 0 else model.unknown
+    if b >= 0:
+        p += model._find("ctx1", np.array([b]), 0.0)[0][0]
+        if c >= 0:
+            v, hit = model._find("bi", np.array([(b << quality.BITS) | c]), 0.0)
+            p = v[0] if hit[0] else p
+    if a >= 0 and b >= 0:
+        g, seen = model._find("ctx2", np.array([(a << quality.BITS) | b]), 0.0)
+        p += g[0]
+        if seen[0] and c >= 0:
+            key = (a << (2 * quality.BITS)) | (b << quality.BITS) | c
+            v, hit = model._find("tri", np.array([key]), 0.0)
+            p = v[0] if hit[0] else p
+    return p
+
+
+def test_pii(spark, docs, no_docs):
+    text = ("Write to Anna.Lee@mail.example.com or ANNA.LEE@MAIL.EXAMPLE.COM, call +1 (366) 555-9807"
+            " or +1 366-555-9807. Card 4111 1111 1111 1111, not 4111111111111112. Host 10.20.30.40."
+            " password=abcdef123456 Frau Petra Klein met Mr Klein; Petra left. г-жа Анна Иванова.")
+    rows = [(1, text), (2, "nothing to see 12345"), (3, None), (4, ""), (None, "a@b.example.org"),
+            (1, text), (5, "bob@b.example.org")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pii.replace_entities(df, b"k").collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r["text"] for r in got}
+    new = by[1]
+    for old in ("anna.lee", "555-9807", "4111 1111 1111 1111", "10.20.30.40", "abcdef123456",
+                "Petra", "Klein", "Анна", "Иванова"):
+        assert old.lower() not in new.lower()
+    assert "4111111111111112" in new and by[2] == rows[1][1] and by[3] is None and by[4] == ""
+    found = pii.detect(new)
+    mails = [new[a:b].lower() for a, b, k, _ in found if k == "email"]
+    phones = [v for _, _, k, v in found if k == "phone"]
+    assert len(mails) == 2 and len(set(mails)) == 1 and len(phones) == 2 and len(set(phones)) == 1
+    assert any(k == "card" for _, _, k, _ in found)        # valid check digit
+    names = [(k, v) for _, _, k, v in found if k.startswith(("given", "family"))]
+    assert sum(k == "given-f-latin" for k, _ in names) == 2
+    assert any(k == "given-f-cyrillic" for k, _ in names)
+    assert [r["text"] for r in got if r["doc_id"] == 1][0] == [r["text"] for r in got if r["doc_id"] == 1][1]
+    assert pii.replace_entities(no_docs, b"k").count() == 0
+    assert pii.replace_entities(docs, b"k").count() == docs.count()
+
+
+def test_pii_surrogates_stay_distinct(spark, monkeypatch):
+    monkeypatch.setattr(pii, "surrogate", lambda key, k, v, attempt=0: f"s{(hash(v) + attempt) % 40}")
+    rows = spark.createDataFrame([("family-latin", f"n{i}") for i in range(30)]
+                                 + [("family-latin", "s3")], "kind string, value string")
+    small = {r["value"]: r["surrogate"] for r in pii.resolve(rows, b"k").collect()}
+    assert len(small) == 31 and len(set(small.values())) == 31 and "s3" not in small.values()
+
+
+def test_license_scan(spark, docs, no_docs):
+    index = license_scan.Index(license_scan.TEMPLATES)
+    for name, texts in license_scan.TEMPLATES.items():
+        for t in texts:
+            body = "some words before it\n" + t.upper() + "\nand some after"
+            got = license_scan.scan(body, index)
+            assert any(g[0] == name and g[2] == 1.0 and body[g[4]:g[5]] == t.upper() for g in got)
+    edited = "Released under the the MIT-style License. Released under an old MIT License."
+    assert all(0.75 <= g[2] <= 1 for g in license_scan.scan(edited, index))
+    assert license_scan.scan("the license of version two under terms", index) == []
+    got = license_scan.scan_documents(docs).collect()
+    assert len(got) == docs.count() and sum(r["n_matches"] for r in got) == 0
+    assert license_scan.scan_documents(no_docs).count() == 0
+    with pytest.raises(ValueError):
+        license_scan.Index({"x": ["too short"]})
+
+
+def test_alignment_by_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        seq, text = rng.integers(1, 6, 8), rng.integers(0, 6, 14)
+        table = np.zeros((9, 15), int)     # longest common subsequence
+        for i in range(8):
+            for j in range(14):
+                table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j],
+                                          table[i, j] + (seq[i] == text[j]))
+        assert license_scan.align(seq, text, -8, 14)[0] == table[-1, -1]
