@@ -52,21 +52,46 @@ LAST_ATTEMPT = 200
 
 _TITLES = "|".join(sorted(map(re.escape, MALE + FEMALE + NEUTRAL), key=len, reverse=True))
 _NAME = r"[^\W\d_a-zß-öø-ÿα-ωа-я][^\W\d_]+(?:-[^\W\d_]+)?"
+# type, what a text must hold for the pattern to be tried, pattern
 PATTERNS = [
-    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
-    ("secret", re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")),
-    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?"
+    ("email", "at", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
+    ("secret", "key", re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")),
+    ("secret", "assign", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?"
                           r"([^\s\"',;]{8,})")),
-    ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
-    ("ipv4", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}"
-                        r"(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")),
-    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
-    ("card", re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])")),
-    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])"
-                         r"\d{3}[ .-]\d{3,4}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w-])")),
+    ("iban", "digit", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
+    ("ipv4", "digit", re.compile(r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}"
+                        r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])")),
+    ("ssn", "digit", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
+    ("card", "digit", re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9-])")),
+    ("phone", "digit", re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])"
+                         r"[0-9]{3}[ .-][0-9]{3,4}(?![\w-])")),
+    ("phone", "digit", re.compile(r"(?<![\w.])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])")),
 ]
-_NAMED = re.compile(rf"(?<!\w)({_TITLES})\.? ({_NAME})(?: ({_NAME}))?")
+_BEFORE = "([{\"'„“«¿¡,;:.!?/"   # marks that may stand right before a title
+_NAMED = re.compile(rf"(?:^|(?<=[\s{re.escape(_BEFORE)}]))({_TITLES})\.? ({_NAME})(?: ({_NAME}))?")
+_TITLE_SET = frozenset(MALE + FEMALE + NEUTRAL)
+_DIGITS = b"0123456789"
+
+
+def _holds(text: str) -> set[str]:
+    """Cheap marks that keep most texts away from the patterns."""
+    raw = text.encode("utf-8", "surrogatepass")
+    out = set()
+    if b"@" in raw:
+        out.add("at")
+    if b"AKIA" in raw or b"ASIA" in raw:
+        out.add("key")
+    if b"=" in raw or b":" in raw:
+        out.add("assign")
+    if len(raw.translate(None, _DIGITS)) != len(raw):
+        out.add("digit")
+    plain = text
+    for mark in _BEFORE:
+        if mark in plain:
+            plain = plain.replace(mark, " ")
+    if not _TITLE_SET.isdisjoint(plain.split()):
+        out.add("title")
+    return out
 
 
 def luhn(digits: str) -> int:
@@ -100,7 +125,12 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     if not text:
         return []
     found = []
-    for kind, pattern in PATTERNS:
+    holds = _holds(text)
+    if not holds:
+        return []
+    for kind, needs, pattern in PATTERNS:
+        if needs not in holds:
+            continue
         for m in pattern.finditer(text):
             a, b = m.span(1) if m.re.groups else m.span()
             value = canonical(kind, text[a:b])
@@ -108,7 +138,7 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
                 continue
             found.append((a, b, kind, value))
     parts: dict[str, str] = {}
-    for m in _NAMED.finditer(text):
+    for m in _NAMED.finditer(text) if "title" in holds else ():
         gender = "m" if m[1] in MALE else "f" if m[1] in FEMALE else "n"
         if m[3]:
             parts[m[2]] = f"given-{gender}-{script(m[2])}"
