@@ -28,10 +28,21 @@ def is_datetime(df: DataFrame, name: str) -> bool:
     return name in df.columns and isinstance(df.schema[name].dataType, _TS_TYPES)
 
 
+def parse_ntz(s: Column, fmt: str) -> Column:
+    """Text -> wall-clock time in any session zone; bad text is missing.
+
+    The text is read as if at offset zero and rebuilt from its microseconds
+    since 1970, so no zone's rules touch it.
+    """
+    at_zero = F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(fmt + " xx"))
+    seconds = (F.unix_micros(at_zero) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def strict_parse(c: Column | str, fmt: str = STRICT_FORMAT) -> Column:
     """Exact format or missing (bad text never raises)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    return parse_ntz(c.cast("string"), fmt)
 
 
 def lenient_parse(c: Column | str) -> Column:
@@ -39,7 +50,7 @@ def lenient_parse(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     s = F.trim(c.cast("string"))
     tries = [s.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in LENIENT_FORMATS]
+    tries += [parse_ntz(s, f) for f in LENIENT_FORMATS]
     return F.coalesce(*tries)
 
 

@@ -18,9 +18,18 @@ def square_root(c):  # M10
     return F.sqrt(_c(c))
 
 
-def jitter(c, sd: float = 1.0, seed: int = 42) -> Column:
-    """Add N(0, sd) noise; seeded so a rerun gives the same values."""
-    return _c(c) + F.randn(seed) * sd
+def jitter(c, sd: float = 1.0, seed: int = 42, key=None) -> Column:
+    """Add N(0, sd) noise, the same on every rerun and partitioning.
+
+    The normal value is Box-Muller of two 32-bit parts of md5(seed, key);
+    ``key`` names the row's key columns (without it the value is the key, so
+    equal values get equal noise).
+    """
+    parts = [_c(k).cast("string") for k in ([c] if key is None else key)]
+    h = F.md5(F.concat_ws(":", F.lit(str(int(seed))), *parts))
+    u, v = (F.conv(F.substring(h, i, 8), 16, 10).cast("double") for i in (1, 9))
+    radius = F.sqrt(F.lit(-2.0) * F.log((u + 1.0) / F.lit(4294967297.0)))
+    return _c(c) + radius * F.cos(F.lit(2.0) * F.pi() * v / F.lit(4294967296.0)) * sd
 
 
 # Fixed values of the reference: R² band limits for the fit verdict.

@@ -54,10 +54,10 @@ def prediction_sample(df: DataFrame, key: list[str], label: str = "label",
 
 
 def plot_frame(df: DataFrame, label: str = "label", prediction: str = "prediction",
-               seed: int = 42) -> DataFrame:
+               seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """V6: (real, predicted + N(0,1) jitter) for the scatter plot."""
-    return df.select(col(label).alias("real"),
-                     jitter(col(prediction), 1.0, seed).alias("predicted_jitter"))
+    return df.select(col(label).alias("real"), jitter(
+        col(prediction), 1.0, seed, key and [col(k) for k in key]).alias("predicted_jitter"))
 
 
 # ------------------------------------------------------------ clustering

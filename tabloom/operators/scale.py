@@ -23,16 +23,22 @@ def fit_scaler(df: DataFrame, cols: list[str], weight: str | None = None) -> dic
             exprs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
         else:
             w = col(weight).cast("double")
-            exprs += [(F.sum(w * x) / F.sum(w)).alias(f"m{i}"),
-                      (F.sum(w * x * x) / F.sum(w)).alias(f"q{i}")]
+            exprs.append((F.sum(w * x) / F.sum(w)).alias(f"m{i}"))
     row = df.agg(*exprs).first()
+    central = None
+    if weight is not None:
+        # squares around the mean: a constant column has variance zero exactly
+        w = col(weight).cast("double")
+        central = df.agg(*[
+            (F.sum(w * (col(c).cast("double") - F.lit(row[f"m{i}"])) ** 2) / F.sum(w)).alias(f"q{i}")
+            for i, c in enumerate(cols)]).first()
     out = {}
     for i, c in enumerate(cols):
         m = row[f"m{i}"]
         if weight is None:
             s = row[f"s{i}"]
         else:
-            var = max(row[f"q{i}"] - m * m, 0.0) if m is not None else None
+            var = central[f"q{i}"] if m is not None else None
             s = var ** 0.5 if var is not None else None
         out[c] = (m, 1.0 if not s else s)
     return out

@@ -12,7 +12,7 @@ from tabloom.operators.scale import standard_scale
 from tabloom.plans import standins as S
 from tabloom.plans.classification import (TARGETS, classify_crashes, impute_crashes,
                                           prepared_crashes, target_sweep)
-from tabloom.plans.q_tabular import CRASH, N1_CRASH, _with, crashes_n1, dq
+from tabloom.plans.q_tabular import CRASH, N1_CRASH, _with, crashes_n1, dq, normal_sql
 from tabloom.plans.regression import PRICE_KEYS, price_regression
 from tabloom.plans.registry import register
 
@@ -192,10 +192,14 @@ def _v6(spark, sf):
     return V.prediction_sample(_pred_frame(spark, sf), PRICE_KEYS)
 
 
-@register("v6_plot_frame")
+@register("v6_plot_frame", _with(pr=PRICES, p=PRED_FRAME)
+          + "SELECT label AS real, round(prediction + "
+          + normal_sql("'42:' || " + " || ':' || ".join(
+              f"CAST({k} AS VARCHAR)" for k in PRICE_KEYS)) + ", 6) AS predicted_jitter FROM p")
 def _v6b(spark, sf):
     """(real, predicted + seeded N(0,1) jitter) for every row."""
-    return V.plot_frame(_pred_frame(spark, sf))
+    frame = V.plot_frame(_pred_frame(spark, sf), key=PRICE_KEYS)
+    return frame.withColumn("predicted_jitter", F.round("predicted_jitter", 6))
 
 
 # ------------------------------------------------------------------- models

@@ -457,9 +457,19 @@ def _m10(spark, sf):
     return S.events(spark, sf).select("event_id", N.square_root("value").alias("root"))
 
 
-@register("m11_jitter")
+def normal_sql(key: str) -> str:
+    """DuckDB form of ``numeric.jitter``'s noise for a key text."""
+    return (f"sqrt(-2.0 * ln((CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) + 1.0::DOUBLE) "
+            f"/ 4294967297.0::DOUBLE)) * cos(2.0 * pi() * "
+            f"CAST('0x' || substr(md5({key}), 9, 8) AS BIGINT) / 4294967296.0::DOUBLE)")
+
+
+@register("m11_jitter", _with(e=EVT)
+          + "SELECT event_id, value, round(value + "
+          + normal_sql("'42:' || CAST(event_id AS VARCHAR)") + ", 6) AS jittered FROM e")
 def _m11(spark, sf):
-    return S.events(spark, sf).select("event_id", "value", N.jitter("value", 1.0, 42).alias("jittered"))
+    return S.events(spark, sf).select("event_id", "value", F.round(
+        N.jitter("value", 1.0, 42, ["event_id"]), 6).alias("jittered"))
 
 
 @register("m12_band", _with(e=EVT)
