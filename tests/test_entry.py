@@ -16,5 +16,6 @@ def test_every_oracle_has_a_query():
 
 
 def test_query_names_avoid_reserved_words():
-    for name in entry.queries():
+    """The library's own queries leave the corpus operators' names free."""
+    for name in entry.registry.QUERIES:
         assert "pipeline" not in name and not name.startswith("op")
