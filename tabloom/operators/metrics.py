@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tabloom.functions.numeric import band, jitter
 from tabloom.operators import pairwise as PW
 from tabloom.operators.columns import col
-from tabloom.operators.joins import maybe_broadcast
 
 
 # ------------------------------------------------------------ supervised
@@ -86,7 +85,7 @@ def calinski_harabasz(df: DataFrame, features: list[str], label: str = "predicti
     n = tot["n"]
     between = cent.agg(F.sum(F.col("__nk") * sum(
         (F.col(f"__c{i}") - F.lit(tot[f"g{i}"])) ** 2 for i in range(len(features))))).first()[0]
-    joined = df.join(maybe_broadcast(cent), col(label) == F.col("__label"))
+    joined = df.join(cent, col(label) == F.col("__label"))
     within = joined.agg(F.sum(w * sum(
         (col(f) - F.col(f"__c{i}")) ** 2 for i, f in enumerate(features)))).first()[0]
     if k < 2:
@@ -105,7 +104,7 @@ def davies_bouldin(df: DataFrame, features: list[str], label: str = "prediction"
     spark = df.sparkSession
     w = _w(weight)
     cent = centroids(df, features, label, weight)
-    joined = df.join(maybe_broadcast(cent), col(label) == F.col("__label"))
+    joined = df.join(cent, col(label) == F.col("__label"))
     dist = F.sqrt(sum((col(f) - F.col(f"__c{i}")) ** 2 for i, f in enumerate(features)))
     spread = joined.groupBy("__label").agg((F.sum(w * dist) / F.sum(w)).alias("__s"))
     rows = cent.join(spread, "__label").orderBy("__label").collect()

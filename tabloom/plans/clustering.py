@@ -111,17 +111,9 @@ def run_model(sample: DataFrame, names: list[str], model: str, params: dict | No
     raise ValueError(model)
 
 
-_SAMPLES: dict = {}
-
-
 def clustering_sample(spark: SparkSession, sf_dir: str):
-    """The checkpointed sample of the accident stand-in, built once per
-    session and input folder and shared by the clustering queries (the
-    reference repeats this block in four scripts)."""
+    """The checkpointed sample of the accident stand-in, as the reference's
+    four clustering scripts each build it."""
     from tabloom.plans import standins as S
     from tabloom.plans.cleaning import clean_accidents
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SAMPLES:
-        _SAMPLES[key] = cluster_sample(clean_accidents(S.accidents(spark, sf_dir)))
-    return _SAMPLES[key]
-
+    return cluster_sample(clean_accidents(S.accidents(spark, sf_dir)))

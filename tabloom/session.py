@@ -28,9 +28,8 @@ BASE_CONF = {
     # and a 1 MB floor leaves most cores idle on them.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast joins are chosen explicitly, behind a size check
-    # (``tabloom.operators.joins``); the planner's own threshold stays
-    # at a small fixed value so it never broadcasts a side that grew.
+    # Joins leave broadcasting to the planner, below this fixed size in
+    # bytes; explicit hints are only given to sides of a known bound.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
 

@@ -189,6 +189,41 @@ def test_ward_and_birch_separate_blobs(spark):
     assert all(len(p) == 1 for p in parts) and len(set.union(*parts)) == 3
 
 
+def test_birch_does_not_depend_on_layout_or_block(spark):
+    rng = np.random.default_rng(8)
+    X = np.vstack([rng.normal(c, 0.8, (150, 2)) for c in ([0, 0], [6, 0], [0, 7], [9, 9])])
+    df = _frame(spark, X)
+    got = []
+    for parts, block in ((1, 2048), (7, 2048), (3, 16), (5, 40)):
+        out = birch(df.repartition(parts), ["f0", "f1"], 0.4, 4, block=block)
+        pred = dict(out["predictions"].select("id", "prediction").collect())
+        groups = {}
+        for i, p in pred.items():
+            groups.setdefault(p, set()).add(i)
+        got.append(sorted(map(sorted, groups.values())))
+        assert len(groups) == 4 and len(pred) == len(X)
+        assert out["summaries"].agg(F.sum("n")).first()[0] == len(X)
+    assert got[0] == got[1] == got[2] == got[3]
+
+
+def test_birch_keeps_its_threshold(spark):
+    rng = np.random.default_rng(9)
+    X = rng.uniform(0, 50, (500, 2))
+    out = birch(_frame(spark, X), ["f0", "f1"], 0.5, 3, block=64)
+    radius = out["summaries"].select(F.sqrt(F.greatest(F.lit(0.0), F.expr(
+        "ss / n - c0 * c0 - c1 * c1"))).alias("r"))
+    assert radius.count() > 64 and radius.agg(F.max("r")).first()[0] <= 0.5 + 1e-9
+    assert out["predictions"].select("prediction").distinct().count() == 3
+
+
+def test_birch_missing_values_and_empty_input(spark):
+    df = spark.createDataFrame([(0, 1.0, 1.0), (1, None, 1.0), (2, float("nan"), 0.0),
+                                (3, 9.0, 9.0)], "id long, f0 double, f1 double")
+    got = dict(birch(df, ["f0", "f1"], 0.5, 2)["predictions"].select("id", "prediction").collect())
+    assert got[1] is None and got[2] is None and {got[0], got[3]} == {0, 1}
+    assert birch(df.limit(0), ["f0", "f1"], 0.5, 2)["predictions"].count() == 0
+
+
 def test_accuracy_and_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, 3.0), (4.0, 6.0)],
                                "label double, prediction double")
