@@ -342,3 +342,33 @@ def test_alignment_by_brute_force():
                 table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j],
                                           table[i, j] + (seq[i] == text[j]))
         assert license_scan.align(seq, text, -8, 14)[0] == table[-1, -1]
+
+
+def test_quality_scores_do_not_depend_on_pieces(monkeypatch):
+    import numpy as np
+
+    from tabloom.llm import quality
+    rng = np.random.default_rng(3)
+    ids = {b"w%d" % i: quality.FIRST + i for i in range(6)}
+    size = quality.FIRST + len(ids)
+
+    def values(keys):
+        keys = np.unique(np.array(keys, dtype=np.int64))
+        return keys, -rng.random(len(keys)).astype(np.float32)
+
+    bits = quality.BITS
+    pairs = rng.integers(0, size, (20, 2))
+    triples = rng.integers(0, size, (60, 3))
+    tables = {"ctx1": values(range(size)), "bi": values((pairs[:, 0] << bits) | pairs[:, 1]),
+              "ctx2": values((pairs[:, 0] << bits) | pairs[:, 1]),
+              "tri": values((triples[:, 0] << 2 * bits) | (triples[:, 1] << bits) | triples[:, 2])}
+    model = quality.Model(ids, -rng.random(size), -5.0, tables)
+    texts = [None, "", *(" ".join(f"w{i}" for i in rng.integers(0, 8, n))
+                         for n in (1, 2, 3, 50, 200))]
+    n, whole = model.score(texts)
+    assert n.tolist() == [1, 1, 2, 3, 4, 51, 201]
+    for piece in (1, 2, 7, 64):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        again, cut = model.score(iter(texts))
+        assert again.tolist() == n.tolist() and np.allclose(cut, whole)
+    assert model.score([])[0].tolist() == []
