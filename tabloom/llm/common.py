@@ -19,6 +19,9 @@ WORD_PATTERN_SQL = "[^\\x20\\x09-\\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1024  # whole texts that a Python worker holds at a time
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -45,8 +48,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Even the partitions of a table that feeds heavy per-row work.
 
     A table of fewer splits than the session has cores would leave cores
-    idle; one of more splits is left as it is.
+    idle; one of more splits is left as it is.  Where the session leaves the
+    size of Arrow batches open, it becomes BATCH_ROWS, as texts can be long.
     """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH_ROWS)
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if len(df.inputFiles()) < want and \
         df.rdd.getNumPartitions() < want else df
