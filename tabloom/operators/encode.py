@@ -80,7 +80,7 @@ def label_codes(c, values: list[str]):
 def assemble(df: DataFrame, inputs: list[str], output: str = "features") -> DataFrame:
     """Numeric columns -> one ML vector; names kept in the ML attributes (E5)."""
     return VectorAssembler(inputCols=inputs, outputCol=output,
-                           handleInvalid="keep").transform(df)
+                           handleInvalid="error").transform(df)
 
 
 def feature_names(df: DataFrame, vector: str = "features") -> list[str]:

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloom.operators import metrics as K
+from tabloom.operators.columns import col
 from tabloom.operators.cluster.gmm import fit_diagonal_mixture, init_from_labels, log_likelihood
 from tabloom.operators.sweep import SPACES, random_trials, sweep
 from tabloom.plans import clustering as C
 from tabloom.plans import standins as S
+from tabloom.plans.q_tabular import CLEAN_WITH
 from tabloom.plans.registry import register
 
 DIMS = 64
@@ -109,11 +111,25 @@ def _k4(spark, sf):
 
 
 # ------------------------------------------------------------------ models
-@register("cluster_features")
+def _features_sql() -> str:
+    num = [f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in C.CLUSTER_NUMERIC]
+    num += [f'CAST("{c}" AS INTEGER)::DOUBLE AS "{c}"' for c in C.CLUSTER_BOOL]
+    night = f"{C.DUMMY_COLUMN}_Night"
+    num.append(f"""CASE WHEN "{C.DUMMY_COLUMN}" = 'Night' THEN 1.0 ELSE 0.0 END::DOUBLE AS "{night}" """)
+    names = [*C.CLUSTER_NUMERIC, *C.CLUSTER_BOOL, night]
+    scaled = ", ".join(
+        f'round(("{c}" - avg("{c}") OVER ()) / CASE WHEN stddev_pop("{c}") OVER () = 0 THEN 1 '
+        f'ELSE stddev_pop("{c}") OVER () END, 6) AS "{c}"' for c in names)
+    return (CLEAN_WITH + f", f AS (SELECT {', '.join(num)} FROM c), "
+            f"g AS (SELECT * FROM f WHERE COLUMNS(*) IS NOT NULL) SELECT {scaled} FROM g")
+
+
+@register("cluster_features", _features_sql())
 def _cf(spark, sf):
     """P2, P1, E3, P10, Z1 on the cleaned accident table."""
     from tabloom.plans.cleaning import clean_accidents
-    return C.cluster_features(clean_accidents(S.accidents(spark, sf)))[0]
+    frame, names = C.cluster_features(clean_accidents(S.accidents(spark, sf)))
+    return frame.select(*[F.round(col(c), 6).alias(c) for c in names])
 
 
 @register("cluster_sample")

@@ -12,8 +12,10 @@ from tabloom.operators.scale import standard_scale
 from tabloom.plans import standins as S
 from tabloom.plans.classification import (TARGETS, classify_crashes, impute_crashes,
                                           prepared_crashes, target_sweep)
-from tabloom.plans.q_tabular import CRASH, N1_CRASH, _with, crashes_n1, dq, normal_sql
-from tabloom.plans.regression import PRICE_KEYS, price_regression
+from tabloom.plans.q_tabular import (CRASH, LENIENT_BOTH, N1_CRASH, _with, crashes_n1, dq,
+                                     normal_sql)
+from tabloom.plans.regression import (LONG_TEXT, PRICE_KEYS, duration_frame,
+                                      duration_regression, price_regression)
 from tabloom.plans.registry import register
 
 PRICES = S.duck_standin(S.PRICES_SQL)
@@ -122,12 +124,17 @@ def _x2(spark, sf):
     return X.split_target(S.prices(spark, sf), "l_extendedprice")[0]
 
 
-@register("x3_bootstrap")
+@register("x3_bootstrap", """
+WITH r AS (SELECT vec_id, label, row_number() OVER (ORDER BY md5(vec_id || '|42'), vec_id) - 1 AS rank
+           FROM embeddings),
+d AS (SELECT ('0x' || substr(md5(i || ':42'), 1, 13))::BIGINT % (SELECT count(*) FROM r) AS rank
+      FROM range(50000) t(i))
+SELECT vec_id, label, count(*) AS weight FROM d JOIN r USING (rank) GROUP BY vec_id, label""")
 def _x3(spark, sf):
     """Exactly 50,000 draws with replacement from ``embeddings`` (weight =
     multiplicity, sum 50,000)."""
-    return X.bootstrap(S.load_table(spark, sf, "embeddings").select("vec_id", "label"),
-                       50_000, seed=42)
+    return X.bootstrap_by_key(S.load_table(spark, sf, "embeddings").select("vec_id", "label"),
+                              50_000, ["vec_id"], seed=42)
 
 
 Z_COLS = ["l_quantity", "l_discount", "l_tax", "p_retailprice"]
@@ -236,6 +243,32 @@ def _r1p(spark, sf):
     return price_regression(spark, sf)["predictions"]
 
 
+_DURATION = """date_diff('microsecond', "Start_Time", "End_Time") / 6e7"""
+
+
+@register("duration_frame", _with(a=S.duck_standin(S.ACCIDENTS_SQL), b=LENIENT_BOTH)
+          + f"SELECT * EXCLUDE ({', '.join(map(dq, LONG_TEXT))}, \"Start_Time\", \"End_Time\", "
+            f'"End_Lat", "End_Lng", "Distance(mi)", "Severity"), "ID" AS row_key, '
+          + ", ".join(f'CAST({p}("Start_Time") AS INTEGER) AS "Start_Time_{p}"'
+                      for p in ("year", "month", "day", "hour"))
+          + f', {_DURATION} AS "Duration_min" FROM b WHERE {_DURATION} > 0 AND {_DURATION} < 240')
+def _durf(spark, sf):
+    """Lifecycle B up to the encoding: D3, F3, D6, F4, P3, D8, P12."""
+    return duration_frame(S.accidents(spark, sf))
+
+
+@register("duration_regression")
+def _dur(spark, sf):
+    """Lifecycle B on the accident table: test metrics and verdict."""
+    return duration_regression(S.accidents(spark, sf))["metrics"]
+
+
+@register("duration_predictions")
+def _durp(spark, sf):
+    """Test-set predictions of lifecycle B."""
+    return duration_regression(S.accidents(spark, sf))["predictions"]
+
+
 @register("g1_entropy_tree")
 def _g1(spark, sf):
     return classify_crashes(prepared_crashes(spark, sf), "alignment", ["entropy"])

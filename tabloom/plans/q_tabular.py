@@ -9,11 +9,13 @@ from tabloom.functions import dates as D
 from tabloom.functions import numeric as N
 from tabloom.functions import units as U
 from tabloom.operators import columns as P
+from tabloom.operators import encode as E
 from tabloom.operators import missing as M
 from tabloom.operators import profile as A
 from tabloom.operators import rows as R
 from tabloom.plans import standins as S
 from tabloom.plans.cleaning import TEXT_DROP_CANDIDATES, clean_accidents
+from tabloom.plans.clustering import CLUSTER_DROP, CLUSTER_NUMERIC
 from tabloom.plans.registry import register
 from tabloom.sources import csv as CSV
 
@@ -66,19 +68,6 @@ INJURY_COLUMNS = ["injuries_total", "injuries_fatal", "injuries_incapacitating",
                   "injuries_no_indication"]
 CRASH_NUMERIC = ["crash_id"] + INJURY_COLUMNS
 
-# Fixed values of the reference: the 29 names the clustering scripts drop
-# and the 11 numeric columns they keep.
-CLUSTER_DROP = [
-    "Start_Time", "End_Time", "City", "County", "State", "Zipcode", "Country",
-    "Timezone", "Airport_Code", "Wind_Direction", "Civil_Twilight",
-    "Nautical_Twilight", "Astronomical_Twilight", "Amenity", "Bump", "Give_Way",
-    "No_Exit", "Railway", "Roundabout", "Traffic_Calming", "Turning_Loop",
-    "Weather_Condition", "Start_Lat", "Start_Lng", "Wind_Chill(C)", "Distance(km)", "Stop",
-    "Junction", "Station"]
-CLUSTER_NUMERIC = ["Severity", "Humidity(%)", "start_hour", "start_dayofweek", "start_month",
-                   "duration_min", "Temperature(C)", "Wind_Speed(m/s)", "Visibility(km)",
-                   "Precipitation(mm)", "Pressure(hPa)"]
-
 
 def duck_units(exclude_extra=()) -> str:
     """The M8 projection in DuckDB (sources dropped, targets appended)."""
@@ -236,6 +225,19 @@ def _p9(spark, sf):
     return P.cast_columns(S.crashes(spark, sf), INJURY_COLUMNS, "int")
 
 
+@register("p10_hconcat", CLEAN_WITH
+          + 'SELECT "Severity", duration_min, CAST("Crossing" AS INTEGER) AS "Crossing", '
+            'CAST("Traffic_Signal" AS INTEGER) AS "Traffic_Signal", CAST(CASE WHEN '
+            """"Sunrise_Sunset" = 'Night' THEN 1 ELSE 0 END AS INTEGER) AS "Sunrise_Sunset_Night" FROM c""")
+def _p10(spark, sf):
+    """Numbers, flags and dummies of one frame side by side."""
+    df = cleaned(spark, sf)
+    numbers = [q("Severity"), q("duration_min")]
+    flags = [q(c).cast("int").alias(c) for c in ("Crossing", "Traffic_Signal")]
+    cats = E.fit_categories(df, ["Sunrise_Sunset"])
+    return P.hconcat(df, numbers, flags, E.dummies(cats, drop_first=True))
+
+
 @register("p11_align_columns", _with(e=EVT)
           + "SELECT event_id, value, 0 AS absent_column, user_id FROM e")
 def _p11(spark, sf):
@@ -294,12 +296,11 @@ def _f3(spark, sf):
 
 
 @register("f4_open_range", CLEAN_WITH
-          + 'SELECT "Start_Time", "End_Time", "Severity", duration_min, duration_min / 1440.0 AS '
-            'duration_days FROM c WHERE duration_min / 1440.0 > 0 AND duration_min / 1440.0 < 240')
+          + 'SELECT "Start_Time", "End_Time", "Severity", duration_min FROM c '
+            "WHERE duration_min > 0 AND duration_min < 240")
 def _f4(spark, sf):
     df = cleaned(spark, sf).select("Start_Time", "End_Time", "Severity", "duration_min")
-    df = df.withColumn("duration_days", F.col("duration_min") / 1440.0)
-    return R.open_range(df, "duration_days", 0, 240)
+    return R.open_range(df, "duration_min", 0, 240)
 
 
 @register("f5_trim_equals", _with(cr=CRASH)

@@ -18,6 +18,10 @@ from row positions):
   lenient parse takes over.
 * ``End_Time`` is the text ``unknown`` for one discount/tax combination
   (about 1 %), so the strict parse stays and those rows become missing.
+  Otherwise it lies up to a few hours from the start, sometimes before it or
+  exactly 0 or 240 minutes after, and days later for one discount.
+* The class targets ``alignment`` and ``crash_type`` also depend on keys that
+  are no feature, so no model can reach accuracy 1.
 * ``End_Lat``/``End_Lng`` are missing for 60 % of rows (dropped as sparse);
   ``Weather_Condition`` and ``Wind_Chill(F)`` for 20 % (rows dropped).
 * ``Temperature(F)`` and ``Wind_Speed(mph)`` are text with junk values that
@@ -45,9 +49,12 @@ SELECT
             || lpad(CAST(l.l_partkey % 60 AS STRING), 2, '0') || ':00'
   END AS "Start_Time",
   CASE WHEN l.l_discount = 0.1 AND l.l_tax = 0.08 THEN 'unknown'
-       ELSE substr(CAST(l.l_shipdate AS STRING), 1, 11)
-            || lpad(CAST((l.l_linenumber * 5) % 24 AS STRING), 2, '0') || ':'
-            || lpad(CAST(l.l_suppkey % 60 AS STRING), 2, '0') || ':30'
+       ELSE substr(CAST(CASE WHEN l.l_discount = 0.04 THEN l.l_shipdate ELSE o.o_orderdate END
+                        AS STRING), 1, 11)
+            || lpad(CAST(l.l_linenumber * 3 + CAST(l.l_quantity AS INT) % 3
+                         + CASE WHEN l.l_discount = 0.09 AND l.l_linenumber <= 6 THEN 3 ELSE 0 END
+                         AS STRING), 2, '0') || ':'
+            || lpad(CAST(l.l_suppkey % 60 AS STRING), 2, '0') || ':00'
   END AS "End_Time",
   25.0 + l.l_quantity / 2.0 AS "Start_Lat",
   -120.0 + l.l_discount * 100.0 AS "Start_Lng",
@@ -123,8 +130,9 @@ SELECT
   CASE WHEN l.l_discount = 0.0 AND o.o_orderstatus = 'P' THEN 'UNKNOWN'
        WHEN o.o_orderstatus = 'F' THEN 'NO DEFECTS' ELSE 'RUT, HOLES' END AS road_defect,
   CASE WHEN o.o_orderstatus = 'O' THEN 'DIVIDED' ELSE 'NOT DIVIDED' END AS trafficway_type,
-  CASE WHEN l.l_linenumber = 7 THEN 'CURVE ON GRADE' ELSE 'STRAIGHT AND LEVEL' END AS alignment,
-  CASE WHEN l.l_returnflag = 'R' OR l.l_quantity > 45 THEN 'INJURY AND / OR TOW'
+  CASE WHEN l.l_linenumber + l.l_partkey % 5 > 7 THEN 'CURVE ON GRADE' ELSE 'STRAIGHT AND LEVEL' END AS alignment,
+  CASE WHEN (l.l_returnflag = 'R' AND l.l_suppkey % 4 > 0) OR l.l_quantity > 45
+         THEN 'INJURY AND / OR TOW'
        ELSE 'NO INJURY / DRIVE AWAY' END AS crash_type,
   CASE WHEN l.l_extendedprice > 50000 THEN 'OVER $1,500'
        WHEN l.l_extendedprice > 20000 THEN '$501 - $1,500' ELSE '$500 OR LESS' END AS damage,
