@@ -93,9 +93,10 @@ def _min_core_label(points: DataFrame, features: list[str], eps: float, n: int,
 
 
 def dbscan(df: DataFrame, id_col: str, features: list[str], eps: float, min_samples: float,
-           weight: str | None = None, block_rows: int = PW.BLOCK_ROWS,
-           max_rounds: int = 200) -> DataFrame:
-    """Input rows + ``prediction`` (cluster number, -1 = noise)."""
+           weight: str | None = None, block_rows: int = PW.BLOCK_ROWS) -> DataFrame:
+    """Input rows + ``prediction`` (cluster number, -1 = noise).
+
+    Labels only ever fall, so the rounds end."""
     points = cut_lineage(merge_duplicates(df, id_col, features, weight))
     n = points.count()
     nw = _neighbour_weight(points, features, eps, n, block_rows)
@@ -103,8 +104,8 @@ def dbscan(df: DataFrame, id_col: str, features: list[str], eps: float, min_samp
                         .withColumn("core", F.coalesce(F.col("nw"), F.lit(0.0)) >= min_samples)
                         .withColumn("label", F.when(F.col("core"), F.col("pid")))
                         .drop("qid", "nw"))
-    m = None
-    for _ in range(max_rounds):
+    changed, m = 1, None
+    while changed:
         m = cut_lineage(_min_core_label(state, features, eps, n, block_rows))
         prop = (state.join(m, state["pid"] == m["qid"], "left")
                 .withColumn("new", F.when(F.col("core"), F.least(F.col("label"), F.col("m"))))
@@ -118,13 +119,9 @@ def dbscan(df: DataFrame, id_col: str, features: list[str], eps: float, min_samp
                   .drop("rp", "jump"))
         changed = jumped.filter(F.col("core") & (F.col("new") != F.col("label"))).count()
         state = cut_lineage(jumped.withColumn("label", F.col("new")).drop("new"))
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError("DBSCAN label propagation did not converge")
-    # border points: smallest core label within eps (from the last, stable round)
-    final_m = cut_lineage(_min_core_label(state, features, eps, n, block_rows))
-    labelled = (state.join(final_m, state["pid"] == final_m["qid"], "left")
+    # border points: smallest core label within eps, as the last round, which
+    # changed no label, has found it
+    labelled = (state.join(m, state["pid"] == m["qid"], "left")
                 .withColumn("comp", F.when(F.col("core"), F.col("label")).otherwise(F.col("m")))
                 .select("pid", *features, "comp"))
     comps = labelled.filter(F.col("comp").isNotNull()).select("comp").distinct()

@@ -6,12 +6,13 @@ distinct values reach the driver, and their number is checked against
 ``max_categories`` before anything is collected.  Encoding itself is a
 projection of 0/1 columns, named ``<column>_<value>`` like pandas'
 ``get_dummies``; ``assemble`` packs them into an ML vector (stored sparse
-when mostly zero).
+when mostly zero).  A frame cannot hold a column for each of very many
+values; ``one_hot_vector`` has no such limit and feeds the models.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +71,39 @@ def get_dummies(df: DataFrame, cols: list[str] | None = None, drop_first: bool =
     return df.select(*keep, *dummies(categories, drop_first, prefix, dtype))
 
 
+def one_hot_vector(df: DataFrame, cols: list[str], numeric: list[str] = (), drop_first: bool = False,
+                   output: str = "features") -> DataFrame:
+    """E1/E2 as one sparse vector: the ``numeric`` columns, then a slot per
+    sorted value of each of ``cols``, however many.  A missing value gives
+    all zeros; slot names are in the vector's attributes (E5)."""
+    temp = [f"__i{k}" for k in range(len(cols))]
+    slots = []
+    if cols:
+        model = StringIndexer(inputCols=list(cols), outputCols=temp, handleInvalid="keep",
+                              stringOrderType="alphabetAsc").fit(df)
+        df = model.transform(df)
+        # the slot of missing values is the last one, which is dropped
+        used = [(t, len(v)) for t, v in zip(temp, model.labelsArray) if len(v) > drop_first]
+        if used:
+            hot = [f"{t}h" for t, _ in used]
+            df = OneHotEncoder(inputCols=[t for t, _ in used], outputCols=hot,
+                               dropLast=True).fit(df).transform(df)
+            for (_, n), h in zip(used, hot):
+                if drop_first:
+                    df = VectorSlicer(inputCol=h, outputCol=f"{h}s",
+                                      indices=list(range(1, n))).transform(df)
+                slots.append(f"{h}s" if drop_first else h)
+            temp += hot + [h for h in slots if h not in hot]
+    return assemble(df, [*numeric, *slots], output).drop(*temp)
+
+
+def class_codes(df: DataFrame, target: str, output: str = "label") -> DataFrame:
+    """E4 for a model's label: position among the sorted values; a missing
+    value is a class of its own, after the others."""
+    return StringIndexer(inputCol=target, outputCol=output, handleInvalid="keep",
+                         stringOrderType="alphabetAsc").fit(df).transform(df)
+
+
 def label_codes(c, values: list[str]):
     """Position in the sorted value list, missing/unseen -> -1."""
     arr = F.array(*[F.lit(v) for v in values])

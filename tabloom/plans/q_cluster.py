@@ -18,15 +18,14 @@ from tabloom.plans import standins as S
 from tabloom.plans.q_tabular import CLEAN_WITH
 from tabloom.plans.registry import register
 
-DIMS = 64
-EMB_COLS = S.embedding_columns(DIMS)
-
 _UNNEST = ("SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, "
            "generate_subscripts(embedding, 1) AS dim FROM embeddings")
 
 
 def _emb(spark, sf):
-    return S.embeddings(spark, sf, DIMS)
+    """(table with one column per dimension, names of those columns)"""
+    dims = S.vector_width(spark, sf)
+    return S.embeddings(spark, sf, dims), S.embedding_columns(dims)
 
 
 @register("k1_silhouette", """
@@ -41,7 +40,8 @@ SELECT round(avg(CASE WHEN c_own <= 1 OR b IS NULL THEN 0.0
                       WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END), 6)
        AS silhouette FROM ab""")
 def _k1(spark, sf):
-    return K.silhouette(_emb(spark, sf), "vec_id", EMB_COLS, "label").select(
+    df, dims = _emb(spark, sf)
+    return K.silhouette(df, "vec_id", dims, "label").select(
         F.round("silhouette", 6).alias("silhouette"))
 
 
@@ -59,7 +59,8 @@ SELECT round(CASE WHEN within_ss = 0 THEN 1.0
                   ELSE (between_ss / (k - 1)) / (within_ss / (n - k)) END, 6) AS calinski_harabasz
 FROM b, w, k""")
 def _k2(spark, sf):
-    return K.calinski_harabasz(_emb(spark, sf), EMB_COLS, "label").select(
+    df, dims = _emb(spark, sf)
+    return K.calinski_harabasz(df, dims, "label").select(
         F.round("calinski_harabasz", 6).alias("calinski_harabasz"))
 
 
@@ -74,7 +75,8 @@ r AS (SELECT dd.i, max((si.s + sj.s) / dd.d) AS r
       FROM dd JOIN s si ON si.label = dd.i JOIN s sj ON sj.label = dd.j GROUP BY dd.i)
 SELECT round(avg(r), 6) AS davies_bouldin FROM r""")
 def _k3(spark, sf):
-    return K.davies_bouldin(_emb(spark, sf), EMB_COLS, "label").select(
+    df, dims = _emb(spark, sf)
+    return K.davies_bouldin(df, dims, "label").select(
         F.round("davies_bouldin", 6).alias("davies_bouldin"))
 
 
@@ -96,17 +98,17 @@ lse AS (SELECT lw.vec_id, mx.m + ln(sum(exp(lw.l - mx.m))) AS v FROM lw JOIN mx
         GROUP BY lw.vec_id, mx.m),
 k AS (SELECT count(DISTINCT label) AS k FROM embeddings)
 SELECT round(sum(v), 4) AS log_likelihood,
-       round(-2 * sum(v) + (2 * k * {DIMS} + k - 1) * ln((SELECT n FROM n)), 4) AS bic
+       round(-2 * sum(v) + (2 * k * (SELECT max(len(embedding)) FROM embeddings) + k - 1) * ln((SELECT n FROM n)), 4) AS bic
 FROM lse, k GROUP BY k""")
 def _k4(spark, sf):
     """BIC of the diagonal mixture whose components are the given labels."""
-    df = _emb(spark, sf)
+    df, dims = _emb(spark, sf)
     k = df.select("label").distinct().count()
-    m = init_from_labels(df, EMB_COLS, "label", k, K4_REG)
-    row = log_likelihood(df, EMB_COLS, m).first()
+    m = init_from_labels(df, dims, "label", k, K4_REG)
+    row = log_likelihood(df, dims, m).first()
     ll, n = row["log_likelihood"], row["n"]
     return spark.createDataFrame(
-        [(round(ll, 4), round(K.bic(ll, n, k, DIMS, "diag"), 4))],
+        [(round(ll, 4), round(K.bic(ll, n, k, len(dims), "diag"), 4))],
         "log_likelihood double, bic double")
 
 

@@ -232,13 +232,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embeddings(spark: SparkSession, sf_dir: str, dims: int | None = None) -> DataFrame:
     """``embeddings`` with the vector spread into ``e00..eNN`` double columns."""
     df = load_table(spark, sf_dir, "embeddings")
-    if dims is None:
-        dims = len(df.select("embedding").first()[0]) if df.head(1) else 0
+    dims = vector_width(spark, sf_dir) if dims is None else dims
     from pyspark.sql import functions as F
     cols = [F.col("embedding")[i].cast("double").alias(f"e{i:02d}") for i in range(dims)]
     return df.select("vec_id", F.col("label").cast("int").alias("label"), *cols)
 
 
+def vector_width(spark: SparkSession, sf_dir: str) -> int:
+    """Length of the longest embedding; 0 in an empty table."""
+    from pyspark.sql import functions as F
+    return spark.read.parquet(table_path(sf_dir, "embeddings")).agg(
+        F.max(F.size("embedding"))).first()[0] or 0
+
+
 def embedding_columns(dims: int) -> list[str]:
     return [f"e{i:02d}" for i in range(dims)]
 
