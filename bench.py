@@ -29,6 +29,7 @@ HEADLINE = [
     "z1_standard_scale",
     "v2_v4_regression_metrics",
     "price_regression",
+    "duration_regression",
     "g2_gini_tree",
     "n3_tree_impute",
     "k1_silhouette",

@@ -102,8 +102,11 @@ def price_regression(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def duration_regression(accidents: DataFrame) -> dict:
-    """Lifecycle B: every string column becomes dummies, every other a number."""
-    df = duration_frame(accidents)
+    """Lifecycle B: every string column becomes dummies, every other a number.
+
+    The parsed frame is checkpointed: categories, medians and the split each
+    read it several times."""
+    df = cut_lineage(duration_frame(accidents))
     text = [c for c in string_columns(df) if c != ACCIDENT_KEY]
     numeric = [c for c in df.columns if c not in (*text, ACCIDENT_KEY, DURATION)]
     frame, names = encoded_frame(df, [ACCIDENT_KEY], DURATION, numeric, text)
