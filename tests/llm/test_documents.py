@@ -262,6 +262,30 @@ def test_quality(spark, docs, no_docs):
     assert quality.keep_documents(docs, none).count() == docs.count()
 
 
+def test_quality_rejects_junk_with_few_labels(spark):
+    good = [(i, " ".join(f"g{(i * 7 + k * k + i // 50 * k) % 50}" for k in range(60)), "en")
+            for i in range(150)]
+    bad = [(1000 + i, " ".join(f"Z{i}Q{k}!!" for k in range(60)), "en") for i in range(20)]
+    df = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)],
+                                   "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality.keep_documents(df, labels).collect()}
+    assert not any(1000 + i in kept for i in range(20))
+    assert sum(i in kept for i in range(100)) >= 98
+    few = labels.where("doc_id < 5")     # too few for any threshold
+    assert quality.classify(df, few).where("not kept").count() == 0
+
+
+def test_quality_sample_passes_over_an_overlong_document(spark):
+    rows = [(i, " ".join(["w"] * (5000 if i % 10 == 3 else 10)), "en") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = df.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    _, used = quality.fit(df, labels, train_words=1000, held_fold=None)
+    assert {r["id"] for r in used.collect()} == {i for i in range(60) if i % 10 != 3}
+    _, used = quality.fit(df, labels)
+    assert 30 <= used.count() < 60       # a fold is held out
+
+
 def one(model, a, b, c):
     p = model.uni[c] if c >= 0 else model.unknown
     if b >= 0:
