@@ -276,6 +276,24 @@ def test_quality_rejects_junk_with_few_labels(spark):
     assert quality.classify(df, few).where("not kept").count() == 0
 
 
+def test_quality_small_groups_have_thresholds_of_their_own(spark):
+    rows = [(i, "en", 100, 50.0 + i % 10) for i in range(500)]
+    rows += [(1000 + i, "xx", 100, 10.0 + i % 3) for i in range(60)]
+    rows += [(2000 + i, "en", 8, 200.0 + i % 10) for i in range(60)]
+    rows += [(3000 + i, None, 100, 20.0) for i in range(60)]
+    scores = spark.createDataFrame(rows, "doc_id long, lang string, n_tokens long, perplexity double")
+    labels = scores.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    limits = quality.thresholds(scores, labels, scores.selectExpr("doc_id as id").limit(0))
+    assert 55 < quality._limit(limits, "en", 100) < 80
+    assert quality._limit(limits, "xx", 100) < 50       # rare, but not the corpus's largest
+    assert quality._limit(limits, None, 100) < 60
+    assert quality._limit(limits, "xx", 8) < quality._limit(limits, "en", 8)
+    # a language never trusted takes its band's, under the largest
+    assert quality._limit(limits, "new", 100) < quality._limit(limits, "new", 8)
+    tight = quality.thresholds(scores, labels, scores.selectExpr("doc_id as id").limit(0), shrink=0)
+    assert quality._limit(tight, "xx", 100) == pytest.approx(12.0)
+
+
 def test_quality_sample_passes_over_an_overlong_document(spark):
     rows = [(i, " ".join(["w"] * (5000 if i % 10 == 3 else 10)), "en") for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
