@@ -8,7 +8,10 @@ so mentions in other formats are the same entity everywhere.
 
 A surrogate is drawn from HMAC-SHA256(key, type, canonical form, attempt)
 and keeps the type: digits for digits with valid check digits, letters in
-the same case and script, names of the same gender and script.  A
+the same case and script, names of the same gender and script.  A value
+without letters or digits (a masked password) becomes a longer run of
+letters; a value whose like-sized surrogates run out gets longer ones from
+attempt SAME_LENGTH on, so every entity finds one.  A
 distributed check compares the surrogates of all entities of the corpus:
 where two entities get one surrogate, or a surrogate is some real entity,
 all but one draw again, until every entity has a surrogate of its own.
@@ -24,9 +27,11 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,7 +53,7 @@ SYLLABLES = {
 }
 ENDINGS = {"latin": ("n", "a", "e"), "cyrillic": ("н", "а", "о"), "greek": ("ς", "α", "ο")}
 
-LAST_ATTEMPT = 200
+SAME_LENGTH = 12        # attempts at a surrogate of the entity's own length
 
 _TITLES = "|".join(sorted(map(re.escape, MALE + FEMALE + NEUTRAL), key=len, reverse=True))
 _NAME = r"[^\W\d_a-zß-öø-ÿα-ωа-я][^\W\d_]+(?:-[^\W\d_]+)?"
@@ -166,58 +171,89 @@ def _stream(key: bytes, kind: str, value: str, attempt: int) -> Iterator[int]:
         n += 1
 
 
+ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+             "αβγδεζηθικλμνξοπρστυφχψω")
+
+
+@functools.lru_cache(maxsize=65536)
+def _pool(c: str) -> str:
+    """The characters that may stand for ``c``: digits of its script, letters
+    of its script and case, or nothing."""
+    kind = unicodedata.category(c)
+    if kind == "Nd":
+        return "".join(chr(ord(c) - unicodedata.digit(c) + d) for d in range(10))
+    if kind[0] not in "LN":
+        return ""
+    name = unicodedata.name(c, "").split(" ")[0]
+    if name in ("LATIN", "CYRILLIC", "GREEK") and kind in ("Lu", "Ll"):
+        letters = ALPHABETS[("LATIN", "CYRILLIC", "GREEK").index(name)]
+        return letters.upper() if kind == "Lu" else letters
+    page = ord(c) & ~0xFF
+    like = "".join(x for x in map(chr, range(page, page + 256)) if unicodedata.category(x) == kind
+                   and unicodedata.name(x, "").split(" ")[0] == name)
+    return like if len(like) > 1 else "0123456789" if kind[0] == "N" else ALPHABETS[0]
+
+
 def _like(text: str, stream: Iterator[int]) -> str:
-    """Digits for digits, ASCII letters for letters of the same case; rest kept."""
+    """Digits for digits, letters for letters of the same script and case; rest kept."""
     out = []
     for c in text:
-        if c.isdigit():
-            out.append(str(next(stream) % 10))
-        elif "a" <= c <= "z" or "A" <= c <= "Z":
-            out.append(chr((97 if c.islower() else 65) + next(stream) % 26))
-        else:
-            out.append(c)
+        pool = _pool(c)
+        out.append(pool[next(stream) % len(pool)] if pool else c)
     return "".join(out)
 
 
+def _letters(n: int, stream: Iterator[int]) -> str:
+    return _like("a" * n, stream)
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The canonical form of an entity's surrogate at this attempt."""
     s = _stream(key, kind, value, attempt)
+    more = max(0, attempt - SAME_LENGTH + 1)     # characters past the entity's own length
     if kind == "email":
         local, _, domain = value.rpartition("@")
-        return f"{_like(local, s)}@{_like(domain.rpartition('.')[0], s)}.{domain.rpartition('.')[2]}"
+        host, _, top = domain.rpartition(".")
+        more += not any(map(_pool, local + host))
+        return f"{_like(local, s)}{_letters(more, s)}@{_like(host, s)}.{top}"
     if kind == "ipv4":
-        return ".".join(str(1 + next(s) % 254) for _ in range(4))
+        return ".".join(str(1 + next(s) % 254) for _ in range(4 + more))
     if kind == "card":
-        body = value[0] + _like(value[1:-1], s)
+        body = value[0] + _like(value[1:-1] + "0" * more, s)
         return body + str(next(d for d in range(10) if luhn(body + str(d)) == 0))
     if kind == "iban":
-        body = _like(value[4:], s)
+        body = _like(value[4:] + "0" * more, s)
         return f"{value[:2]}{98 - mod97(value[:2] + '00' + body):02d}{body}"
     if kind == "secret" and value[:4] in ("AKIA", "ASIA"):
-        return value[:4] + _like(value[4:], s)
+        return value[:4] + _like(value[4:] + "A" * more, s)
     if kind == "secret" and re.fullmatch("[0-9a-f]+", value):
-        return "".join("0123456789abcdef"[next(s) % 16] for _ in value)
+        return "".join("0123456789abcdef"[next(s) % 16] for _ in range(len(value) + more))
     if kind.startswith(("given", "family")):
         letters = kind.rpartition("-")[2]
         pool = SYLLABLES[letters]
         end = ENDINGS[letters]["mfn".index(kind.split("-")[1]) if kind.startswith("given") else 0]
         n = 2 + attempt // 4 + next(s) % 2
         return ("".join(pool[next(s) % len(pool)] for _ in range(n)) + end).capitalize()
+    if kind == "secret":
+        if not any(map(_pool, value)):
+            return _letters(len(value) + 1 + more, s)
+        return _like(value, s) + _letters(more, s)
     if kind == "phone" and len(value) > 10:
-        return value[:-10] + _like(value[-10:], s)
-    return _like(value, s)
+        return value[:-10] + _like(value[-10:] + "0" * more, s)
+    return _like(value + "0" * more, s)
 
 
 def render(kind: str, mention: str, new: str) -> str:
     """The surrogate in the mention's format."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(new)
-        return "".join(next(digits, "0") if c.isdigit() else c for c in mention)
+        return "".join(next(digits, "0") if c.isdigit() else c for c in mention) + "".join(digits)
     if kind == "iban":
         chars = iter(new)
-        return "".join(c if c == " " else next(chars) for c in mention)
+        return "".join(c if c == " " else next(chars) for c in mention) + "".join(chars)
     if kind == "email":
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(mention, new))
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(mention, new)) + \
+            new[len(mention):]
     return new
 
 
@@ -246,8 +282,6 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
         if left.isEmpty():
             return done
         attempt += 1
-        if attempt > LAST_ATTEMPT:
-            raise RuntimeError("a type has more entities than surrogates")
 
 
 def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id",
