@@ -1,7 +1,8 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
 1. Every document gets its set of 5-word shingles (64-bit hashes), a digest
-   of the set, 192 min-hashes, and 32 keys of six min-hashes each.
+   of the set, 192 min-hashes, and keys of a few min-hashes each: 32 of six
+   for a threshold of 0.85, 38 of five for 0.8 (``layout``).
 2. Documents with one set are one class; its smallest id stands for it.
 3. Classes that share a band key are candidates.  First each member of a
    bucket meets four pivots of the bucket (the members first in four global
@@ -17,7 +18,8 @@
    full sets.
 
 A pair at the threshold 0.85 shares no band key with probability
-(1 - 0.85**6)**32 = 2.6e-7, and more similar pairs far less.
+(1 - 0.85**6)**32 = 2.6e-7, one at 0.8 with (1 - 0.8**5)**38 = 2.8e-7, and
+more similar pairs far less.
 
 Defined cases: null text is empty; documents without words are linked with
 nothing and stay; null ids take no part (component null, kept); rows that
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import spread, stage_table
 
 SHINGLE = 5
-ROWS, BANDS = 6, 32
-LANES = ROWS * BANDS
+LANES = 192
+BAND_MISS = 3e-7      # chance that a pair at the threshold shares no band key
 BATCH = 32            # min-hashes compared at a time
 MISS = 1e-6           # chance of pruning a pair that reaches the threshold
 PIVOTS = 4
@@ -55,7 +57,7 @@ BROADCAST_IDS = 1_000_000  # ids of 8 bytes; past it the ids join by a shuffle
 _RNG = np.random.default_rng(20240601)
 _MIX = _RNG.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PERM = _RNG.integers(1, 2**31, LANES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_BAND = _RNG.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = _RNG.integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 _WORDS: dict[bytes, int] = {}
 
@@ -96,11 +98,21 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    """(n, BANDS) signed 64-bit keys; keys of different bands differ."""
-    rows = sig.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    mixed = (rows * _BAND[None]).sum(axis=2, dtype=np.uint64)
-    mixed += np.arange(BANDS, dtype=np.uint64)[None] * np.uint64(0xD1B54A32D192ED03)
+def layout(percent: int) -> tuple[int, int]:
+    """(min-hashes of a band, bands): the longest bands that miss a pair at
+    the threshold with BAND_MISS at most."""
+    for rows in range(LANES, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (LANES // rows) <= BAND_MISS:
+            return rows, LANES // rows
+    return 1, LANES
+
+
+def band_keys(sig: np.ndarray, percent: int = 85) -> np.ndarray:
+    """(n, bands) signed 64-bit keys; keys of different bands differ."""
+    rows, bands = layout(percent)
+    parts = sig[:, :rows * bands].reshape(-1, bands, rows).astype(np.uint64)
+    mixed = (parts * _BAND[:rows * bands].reshape(1, bands, rows)).sum(axis=2, dtype=np.uint64)
+    mixed += np.arange(bands, dtype=np.uint64)[None] * np.uint64(0xD1B54A32D192ED03)
     return _finish(mixed).view(np.int64)
 
 
@@ -108,7 +120,7 @@ def set_digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sketch(docs: DataFrame, id_col: str, text_col: str, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, digest, lanes (low 16 bits of each min-hash), keys."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()),
                         ("digest", pa.binary()), ("lanes", pa.binary()),
@@ -125,7 +137,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if not n:
                 continue
             sig = np.stack(sigs)
-            keys = band_keys(sig)
+            keys = band_keys(sig, percent)
             lanes = (sig & np.uint32(0xFFFF)).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
@@ -333,7 +345,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Links reach ``100 * intersection >= percent * union``.
     """
     spark = docs.sparkSession
-    rows = stage_table(sketch(docs, id_col, text_col), "sketches")
+    rows = stage_table(sketch(docs, id_col, text_col, percent), "sketches")
     sets = rows.where("n_shingles > 0 and doc_id is not null")
     reps = stage_table(sets.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     classes = stage_table(

@@ -142,6 +142,26 @@ def test_near_dedup(docs, no_docs):
     assert near_dedup.near_groups(no_docs).count() == 0
 
 
+def test_near_dedup_at_080(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(30):
+        w = [f"w{rng.integers(10**6)}" for _ in range(200)]
+        other = list(w)
+        for k in ((20, 60, 100, 140) if i % 3 else (10, 40, 70, 100, 130)):
+            other[k] = f"e{i}x{k}"       # 176 of 216 shingles are shared, or 171 of 221
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in near_dedup.dedup_documents(df, percent=80).collect()}
+    want = brute_components(rows, percent=80)
+    assert got == {i for i, (_, c) in want.items() if i == c} and len(got) == 40
+    assert near_dedup.dedup_documents(df).count() == 60
+    for percent in (80, 85):
+        r, b = near_dedup.layout(percent)
+        assert (1 - (percent / 100) ** r) ** b < 3e-7 and r * b <= near_dedup.LANES
+    assert near_dedup.layout(85) == (6, 32)
+
+
 def test_near_dedup_decides_a_large_group_near_the_threshold(spark):
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(150)]
