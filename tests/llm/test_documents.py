@@ -430,6 +430,31 @@ def test_license_scan(spark, docs, no_docs):
         license_scan.Index({"x": ["too short"]})
 
 
+def test_license_scan_names_versions_and_parts():
+    index = license_scan.Index(license_scan.all_templates())
+
+    def names(text):
+        return [g[0] for g in license_scan.scan(text, index)]
+
+    gnu = "This work is licensed under the GNU {}, version {}."
+    assert names(gnu.format("General Public License", "2")) == ["GPL-2.0"]
+    assert names(gnu.format("General Public License", "3")) == ["GPL-3.0"]
+    assert names(gnu.format("General Public License", "7")) == []
+    assert names(gnu.format("Lesser General Public License", "3")) == ["LGPL-3.0"]
+    header = ("This program is free software: you can redistribute it and/or modify it under the terms"
+              " of the GNU {}General Public License as published by the Free Software Foundation,"
+              " either version 3 of the License, or (at your option) any later version.")
+    assert set(names(header.format(""))) == {"GPL-3.0"}
+    assert set(names(header.format("Affero "))) == {"AGPL-3.0"}
+    assert names("Released under the BSD License.") == []
+    assert names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"]
+    assert names("Licensed under the Mozilla Public License, version 2.0.") == ["MPL-2.0"]
+    for n in (1, 2, 3, 5):      # every occurrence
+        assert names("Released under the MIT License. " * n) == ["MIT"] * n
+    late = license_scan.paragraphs(license_scan.TEXTS["MPL-2.0"])[-3]
+    assert names("intro words\n" + late) == ["MPL-2.0"]
+
+
 def test_alignment_by_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(50):
