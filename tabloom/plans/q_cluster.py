@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import metrics as K
 from tabloom.operators.columns import col
-from tabloom.operators.cluster.gmm import fit_diagonal_mixture, init_from_labels, log_likelihood
-from tabloom.operators.sweep import SPACES, random_trials, sweep
+from tabloom.operators.cluster.gmm import (fit_diagonal_mixture, init_from_labels,
+                                           log_likelihood, predict)
+from tabloom.operators.cluster.gmm_full import fit_full_mixture, predict_full
+from tabloom.operators.sweep import GMM_PENALTY, SPACES, random_trials, sweep
 from tabloom.plans import clustering as C
 from tabloom.plans import standins as S
 from tabloom.plans.q_tabular import CLEAN_WITH
@@ -171,7 +173,7 @@ _score_query("dbscan_scores", "dbscan")
 _score_query("birch_scores", "birch")
 
 
-def _sweep_query(name: str, model: str, n_trials: int = 4):
+def _sweep_query(name: str, model: str, n_trials: int = 40):
     @register(name)
     def _q(spark, sf):
         sample, names = C.clustering_sample(spark, sf)
@@ -194,6 +196,25 @@ def _sweep_query(name: str, model: str, n_trials: int = 4):
 
 _sweep_query("h1_sweep_kmeans", "kmeans")
 _sweep_query("h1_sweep_birch", "birch")
+_sweep_query("h1_sweep_dbscan", "dbscan")
+
+
+@register("h1_sweep_gmm")
+def _sweep_gmm(spark, sf):
+    """50 seeded random trials of the mixture space on the weighted accident
+    sample, BIC minimised (fewer than 2 components used: 1e6 more)."""
+    sample, names = C.clustering_sample(spark, sf)
+
+    def objective(p):
+        whole = p["covariance"] in ("full", "tied")
+        fit, label = (fit_full_mixture, predict_full) if whole else (fit_diagonal_mixture, predict)
+        m = fit(sample, names, p["k"], reg=p["reg"], seed=C.SEED, weight="weight",
+                covariance=p["covariance"])
+        used = label(sample, names, m).select("prediction").distinct().count()
+        score = float(K.bic(m.log_likelihood, m.n, p["k"], len(names), p["covariance"]))
+        return score + (GMM_PENALTY if used < 2 else 0.0), used
+
+    return sweep(spark, random_trials(SPACES["gmm"], 50, seed=42), objective, "minimize")
 
 
 @register("k4_gmm_bic")

@@ -17,6 +17,7 @@ from tabloom.plans.q_tabular import (CRASH, LENIENT_BOTH, N1_CRASH, _with, crash
 from tabloom.plans.regression import (LONG_TEXT, PRICE_KEYS, duration_frame,
                                       duration_regression, price_regression)
 from tabloom.plans.registry import register
+from tabloom.session import cut_lineage
 
 PRICES = S.duck_standin(S.PRICES_SQL)
 EVT = S.duck_standin(S.EVENTS_SQL)
@@ -286,11 +287,8 @@ def _g3(spark, sf):
 
 @register("g5_target_sweep")
 def _g5(spark, sf):
-    """Entropy and gini trees on each of the five targets.  The 200-tree
-    forest per target is ``target_sweep(..., models=(..., "forest"))``; it
-    is left out of this registered query because five unlimited-depth
-    forests run for over 20 minutes on one machine (see README)."""
-    return target_sweep(prepared_crashes(spark, sf), TARGETS, models=("entropy", "gini"))
+    """Entropy tree, gini tree and 200-tree forest on each of the five targets."""
+    return target_sweep(cut_lineage(prepared_crashes(spark, sf)), TARGETS)
 
 
 @register("n3_tree_impute")
@@ -301,8 +299,6 @@ def _n3(spark, sf):
 
 @register("impute_then_classify")
 def _d(spark, sf):
-    """Lifecycle D: N3 imputation, then the entropy and gini trees on one
-    imputed target (the forest is ``g3_random_forest``)."""
-    return classify_crashes(impute_crashes(spark, sf), "traffic_control_device",
-                            ["entropy", "gini"])
-
+    """Lifecycle D: N3 imputation, then the entropy tree, the gini tree and the
+    200-tree forest on each of the five targets."""
+    return target_sweep(impute_crashes(spark, sf), TARGETS)
