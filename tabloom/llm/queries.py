@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import (ann, exact_dedup, license_scan, lm, mixing, near_dedup, packing, pii,
-                         quality, url_filter)
+from tabloom.llm import (ann, divergence, exact_dedup, license_scan, lm, mixing, near_dedup, packing,
+                         pii, quality, set_join, url_filter, whiten)
 from tabloom.llm.common import LOWER, UPPER, WORD_PATTERN_SQL, table
 
 # The rules of the URL contract.
@@ -168,3 +168,58 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity, threshold and decision of every document."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_DIVERGENCE_SQL = f"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+t AS (SELECT lang, source, r, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term)
+      GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c FROM g JOIN k ON k.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+n AS (SELECT lang, source, sum(c) AS n FROM f GROUP BY lang, source),
+p AS (SELECT f.lang, f.source, f.term, f.c,
+             1 + (1000000000::HUGEINT * (f.c + 2)) // (n.n + 2 * v.v) AS p
+      FROM f JOIN n ON n.lang = f.lang AND n.source = f.source JOIN v ON v.lang = f.lang),
+w AS (SELECT lang, term, sum(c) AS c FROM f GROUP BY lang, term),
+wn AS (SELECT lang, sum(c) AS n FROM w GROUP BY lang),
+q AS (SELECT w.lang, w.term, 1 + (1000000000::HUGEINT * (w.c + 2)) // (wn.n + 2 * v.v) AS q
+      FROM w JOIN wn ON wn.lang = w.lang JOIN v ON v.lang = w.lang),
+ps AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS s
+       FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+       GROUP BY a.lang, a.source, b.source),
+pr AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(ps.s, 0) AS value
+       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN ps ON ps.lang = a.lang AND ps.source = a.source AND ps.item = b.source),
+tm AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item,
+              ((p.p - q.q) * (p.p - q.q)) // (p.p + q.q) AS value
+       FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.c > 0 AND p.p > q.q),
+u AS (SELECT * FROM pr UNION ALL SELECT * FROM tm),
+x AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM u)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM x
+WHERE part = 'pair' OR rank <= 10"""
+
+
+@register("op11_divergence", _DIVERGENCE_SQL)
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of a language's sources, and the terms that set each apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight principal axes, whitened."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_jaccard_join")
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component and links of every document under shingle similarity of 0.8."""
+    return set_join.join_groups(table(spark, sf_dir, "documents"))

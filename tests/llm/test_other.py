@@ -17,8 +17,8 @@ def test_sql(spark, name):
     for t in ("documents", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE[name]).df()
-    key = "page_id" if "page_id" in got.columns else "doc_id"
     cols = sorted(got.columns)
+    key = next(([k] for k in ("page_id", "doc_id") if k in cols), cols)
     assert cols == sorted(want.columns) and len(got) == len(want)
     a = got[cols].sort_values(key).reset_index(drop=True)
     b = want[cols].sort_values(key).reset_index(drop=True)
