@@ -2,7 +2,7 @@
 
 Which terms of a language are frequent enough to compare is found without
 counting its rare terms, which are most of them.  Level by level, prefixes
-of 2, 4, 8, ... bytes are counted by distinct documents; prefixes below the
+of 4, 8, 16, ... bytes are counted by distinct documents; prefixes below the
 threshold are discarded, and only terms that extend a kept one are looked at
 in the next level.  A term that ends within a level's length is counted
 whole there.  The rounds end when no kept prefix is left to extend.
@@ -23,7 +23,7 @@ for all its pairs and no term rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +35,13 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.common import spread, stage_table
 
-FIRST_LEVEL = 2          # bytes of the first prefixes; each level doubles them
+FIRST_LEVEL = 4          # bytes of the first prefixes; each level doubles them
 LEAST_DOCS = 10
 MOST_BITS = 1 << 27      # of a bitmap: 16 MB
 PIECE = 1 << 15          # bits of a bitmap that one group sets
-FLUSH = 300_000          # counts that a task holds at a time
+CHUNK = 1 << 20          # tokens of the documents that are coded together
+FLUSH = 500_000          # prefix counts that a task holds at a time
+TRIPLES = 4_000_000      # and counts by source and term
 TERM_BUCKET = 2048       # terms of a group of pair sums, about
 SOURCE_BLOCK = 96        # and sources of each of its sides
 UNIT = 1_000_000_000
@@ -55,18 +57,75 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
+class Numbers(dict):
+    """Numbers new keys in the order they come."""
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+LISTS = ("lang string, vocab binary, ids binary, counts binary, ends binary, of binary, "
+         "sources array<string>")
+
+
 def term_lists(docs: DataFrame) -> DataFrame:
-    """lang, source, terms (distinct, joined by blanks), counts, per document."""
+    """Chunks of documents of one language: ``vocab``, their distinct terms;
+    ``ids`` and ``counts`` of each document's terms; ``ends``, where each
+    document's stop; ``of``, each document's position in ``sources``."""
+    names = [f.split()[0] for f in LISTS.split(",")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[Numbers, list, Numbers, list]] = {}
+        size = 0
+
+        def out(lang: str, vocab: Numbers, found: list, sources: Numbers, of: list
+                ) -> pa.RecordBatch:
+            ids = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+            wide = max(len(vocab), 1)
+            doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            key, counts = np.unique(doc * wide + ids, return_counts=True)
+            ends = np.searchsorted(key // wide, np.arange(len(found)), side="right")
+            cells = [b" ".join(vocab), *(v.astype("<u4").tobytes() for v in (
+                key % wide, counts, ends, np.array(of)))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang]), *(pa.array([c], pa.binary()) for c in cells),
+                 pa.array([list(sources)], pa.list_(pa.string()))], names=names)
+
         for batch in batches:
-            found = [Counter(terms(t)) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([b" ".join(c) for c in found], pa.binary()),
-                 pa.array([np.fromiter(c.values(), "<u4", len(c)).tobytes() for c in found],
-                          pa.binary())], names=["lang", "source", "terms", "counts"])
+            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
+                vocab, found, sources, of = held.setdefault(lang, (Numbers(), [], Numbers(), []))
+                found.append(np.fromiter(map(vocab.__getitem__, terms(text)), np.int64))
+                of.append(sources[source])
+                size += len(found[-1]) + 1
+                if size >= CHUNK:
+                    for key, parts in held.items():
+                        yield out(key, *parts)
+                    held, size = {}, 0
+        for key, parts in held.items():
+            yield out(key, *parts)
+
+    return spread(docs).mapInArrow(run, LISTS)
+
+
+class Chunk:
+    """One row of ``term_lists``."""
+
+    def __init__(self, row: dict):
+        self.lang, self.key = row["lang"], row["lang"].encode("utf-8", "surrogatepass")
+        self.vocab = row["vocab"].split()
+        self.ids = np.frombuffer(row["ids"], "<u4").astype(np.int64)
+        self.counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+        ends = np.frombuffer(row["ends"], "<u4").astype(np.int64)
+        self.of = np.frombuffer(row["of"], "<u4").astype(np.int64)
+        self.doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        self.sources = row["sources"]
 
-    return spread(docs).mapInArrow(run, "lang string, source string, terms binary, counts binary")
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Chunk({n: batch.column(n)[i].as_py() for n in batch.schema.names})
 
 
 def _slot(lang: bytes, item: bytes, bits: int) -> int:
@@ -117,8 +176,7 @@ def level_counts(lists: DataFrame, low: int, high: int, parents) -> DataFrame:
     OPEN), where the prefix of ``low`` bytes was kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = parents.value if parents is not None else None
-        known: dict[bytes, dict[bytes, bytes]] = {}
-        counts: dict[str, Counter] = {}
+        counts: dict[str, dict[bytes, int]] = {}
         size = 0
 
         def out() -> pa.RecordBatch:
@@ -129,38 +187,30 @@ def level_counts(lists: DataFrame, low: int, high: int, parents) -> DataFrame:
                  pa.array([n for c in counts.values() for n in c.values()], pa.int64())],
                 names=["lang", "item", "docs"])
 
-        for batch in batches:
-            for lang, joined in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key = lang.encode("utf-8", "surrogatepass")
-                items = known.setdefault(key, {})  # term -> item, or b"" if discarded
-                here = set()
-                for t in joined.split():
-                    item = items.get(t)
-                    if item is None:
-                        if len(t) <= low or kept is not None and not kept.has(
-                                key, t[:low] + OPEN):
-                            item = b""
-                        else:
-                            item = t if len(t) <= high else t[:high] + OPEN
-                        if len(items) >= FLUSH:
-                            items.clear()
-                        items[t] = item
-                    here.add(item)
-                here.discard(b"")
-                counter = counts.setdefault(lang, Counter())
+        for c in chunks(batches):
+            items = Numbers()
+            item_of = np.full(len(c.vocab), -1, dtype=np.int64)
+            for i, t in enumerate(c.vocab):
+                if len(t) > low and (kept is None or kept.has(c.key, t[:low] + OPEN)):
+                    item_of[i] = items[t if len(t) <= high else t[:high] + OPEN]
+            if items:
+                item = item_of[c.ids]
+                mine = item >= 0
+                pair = np.unique(c.doc[mine] * len(items) + item[mine])
+                docs = np.bincount(pair % len(items), minlength=len(items)).tolist()
+                counter = counts.setdefault(c.lang, {})
                 size -= len(counter)
-                counter.update(here)
+                for i, n in zip(items, docs):
+                    counter[i] = counter.get(i, 0) + n
                 size += len(counter)
-                if size >= FLUSH:
-                    yield out()
-                    counts.clear()
-                    known = {k: v for k, v in known.items() if k == key}
-                    size = 0
+            if size >= FLUSH:
+                yield out()
+                counts.clear()
+                size = 0
         yield out()
 
-    return lists.select("lang", "terms").mapInArrow(
-        run, "lang string, item binary, docs long").groupBy("lang", "item").agg(
-        F.sum("docs").alias("docs"))
+    return lists.mapInArrow(run, "lang string, item binary, docs long").groupBy(
+        "lang", "item").agg(F.sum("docs").alias("docs"))
 
 
 def kept_terms(lists: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
@@ -181,50 +231,81 @@ def kept_terms(lists: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
         low, high = high, high * 2
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(source, term, count) triples with equal keys added."""
+    s, t, c = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    wide = int(t.max(initial=0)) + 1
+    key, at = np.unique(s * wide + t, return_inverse=True)
+    return key // wide, key % wide, np.bincount(at, c, len(key)).astype(np.int64)
+
+
 def term_counts(lists: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, c): occurrences of the kept terms."""
+    """(lang, source, term, c): occurrences of the kept terms.
+
+    Tasks add their chunks and send triples in buckets of terms."""
     sc = lists.sparkSession.sparkContext
-    sent = sc.broadcast(bitmap(kept.withColumnRenamed("term", "item"), kept.count()))
+    rows = kept.count()
+    sent = sc.broadcast(bitmap(kept.withColumnRenamed("term", "item"), rows))
+    buckets = max(32, rows // 1024)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = sent.value
-        known: dict[bytes, dict[bytes, bool]] = {}
-        counts: dict[tuple[str, str], dict[bytes, int]] = {}
+        held: dict[str, list] = {}
         size = 0
 
-        def out() -> pa.RecordBatch:
-            keys = [k for k, c in counts.items() for _ in c]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()),
-                 pa.array([k[1] for k in keys], pa.string()),
-                 pa.array([t for c in counts.values() for t in c], pa.binary()),
-                 pa.array([n for c in counts.values() for n in c.values()], pa.int64())],
-                names=["lang", "source", "term", "c"])
-
-        for batch in batches:
-            for lang, source, joined, numbers in zip(*(c.to_pylist() for c in batch.columns)):
-                key = lang.encode("utf-8", "surrogatepass")
-                passes = known.setdefault(key, {})
-                counter = counts.setdefault((lang, source), {})
-                size -= len(counter)
-                for t, n in zip(joined.split(), np.frombuffer(numbers, "<u4").tolist()):
-                    ok = passes.get(t)
-                    if ok is None:
-                        if len(passes) >= FLUSH:
-                            passes.clear()
-                        ok = passes[t] = marked.has(key, t)
-                    if ok:
-                        counter[t] = counter.get(t, 0) + n
-                size += len(counter)
-                if size >= FLUSH:
-                    yield out()
-                    counts.clear()
-                    size = 0
-        yield out()
-
-    return lists.select("lang", "source", "terms", "counts").mapInArrow(
-        run, "lang string, source string, term binary, c long").groupBy(
-        "lang", "source", "term").agg(F.sum("c").alias("c")).join(kept, ["lang", "term"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, (names, sources, parts) in held.items():
+                s, t, c = _merged(parts)
+                words = list(names)
+                bucket = np.array([zlib.crc32(w) % buckets for w in words])[t]
+                order = np.argsort(bucket, kind="stable")
+                s, t, c, bucket = s[order], t[order], c[order], bucket[order]
+                edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+                for lo, hi in zip(edges, edges[1:]):
+                    here, at = np.unique(t[lo:hi], return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang]), pa.array([int(bucket[lo])], pa.int32()),
+                         pa.array([b" ".join(words[i] for i in here)], pa.binary()),
+                         pa.array([list(sources)], pa.list_(pa.string())),
+                         *(pa.array([v.astype("<i8").tobytes()], pa.binary())
+                           for v in (s[lo:hi], at, c[lo:hi]))],
+                        names=["lang", "bucket", "words", "sources", "s", "t", "c"])
+
+        for c in chunks(batches):
+            names, sources, parts = held.setdefault(c.lang, (Numbers(), Numbers(), []))
+            to = np.array([names[t] if marked.has(c.key, t) else -1 for t in c.vocab],
+                          dtype=np.int64)
+            if not len(to):
+                continue
+            term = to[c.ids]
+            mine = term >= 0
+            of = np.array([sources[x] for x in c.sources], dtype=np.int64)[c.of]
+            if mine.any():
+                parts.append(_merged([(of[c.doc[mine]], term[mine], c.counts[mine])]))
+                size += len(parts[-1][0])
+            if size >= TRIPLES:
+                yield from out()
+                held, size = {}, 0
+        held = {k: v for k, v in held.items() if v[2]}
+        yield from out()
+
+    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        names, sources, parts = Numbers(), Numbers(), []
+        for r in pdf.to_dict("records"):
+            of = np.array([sources[x] for x in r["sources"]], dtype=np.int64)
+            to = np.array([names[t] for t in r["words"].split()], dtype=np.int64)
+            parts.append((of[np.frombuffer(r["s"], "<i8")], to[np.frombuffer(r["t"], "<i8")],
+                          np.frombuffer(r["c"], "<i8")))
+        s, t, c = _merged(parts)
+        words, names_of = np.array(list(names), dtype=object), np.array(list(sources), dtype=object)
+        return pd.DataFrame({"lang": str(key[0]), "source": names_of[s], "term": words[t], "c": c})
+
+    found = lists.mapInArrow(
+        run, "lang string, bucket int, words binary, sources array<string>, s binary, t binary, "
+             "c binary").groupBy("lang", "bucket").applyInPandas(
+        add, "lang string, source string, term binary, c long")
+    return found.join(kept, ["lang", "term"])
 
 
 def share(count: Column | str, total: str = "n", kinds: str = "v") -> Column:
@@ -313,7 +394,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = 10, lang_col: str
     kept = stage_table(kept_terms(lists, least), "kept-terms")
     counts = stage_table(term_counts(lists, kept), "term-counts")
     kinds = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    groups = lists.select("lang", "source").distinct()
+    groups = lists.select("lang", F.explode("sources").alias("source")).distinct()
     sizes = counts.groupBy("lang", "source").agg(F.sum("c").alias("n"))
     per_lang = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
         kinds, "lang", "left").select("lang", "sources", F.coalesce("v", F.lit(0)).alias("v"))
