@@ -59,5 +59,16 @@ def spread(df: DataFrame) -> DataFrame:
         df.rdd.getNumPartitions() < want else df
 
 
+def nest(df: DataFrame, **more: Column) -> DataFrame:
+    """One struct column ``row`` of all columns, and ``more`` computed from
+    them: no name of the table can clash with an operator's own."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"),
+                     *[c.alias(n) for n, c in more.items()])
+
+
+def unnest(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
+
+
 def basename(path: str) -> str:
     return os.path.basename(path.rstrip("/"))

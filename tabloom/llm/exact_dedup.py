@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ascii_lower, stage_table
+from tabloom.llm.common import ascii_lower, nest, stage_table, unnest
 
 COUNTERS = 1024  # bound of every summary and of the broadcast table
 
@@ -89,12 +89,10 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     decisions = stage_table(decide(docs, id_col, text_col, counters), "decisions")
     kept = decisions.where("kept").groupBy("doc_id", "text_sha256").agg(
         F.count(F.lit(1)).alias("rows"))
-    kept = stage_table(kept, "kept").toDF("_keep_id", "_keep_digest", "_keep_rows")
-    out = docs.withColumn("_digest_of_row", text_digest(F.col(text_col))).join(
-        kept, F.col(id_col).eqNullSafe(F.col("_keep_id"))
-        & (F.col("_digest_of_row") == F.col("_keep_digest")))
-    once = out.where("_keep_rows = 1").select(docs.columns)
-    if kept.where("_keep_rows > 1").isEmpty():
-        return once
-    again = out.where("_keep_rows > 1").dropDuplicates(["_keep_id", "_digest_of_row"])
-    return once.unionByName(again.select(docs.columns))
+    kept = stage_table(kept, "kept").toDF("keep_id", "keep_digest", "rows")
+    out = nest(docs, id=F.col(id_col), digest=text_digest(F.col(text_col))).join(
+        kept, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest")))
+    once = out.where(F.col("rows") == 1)
+    if not kept.where("rows > 1").isEmpty():
+        once = once.unionByName(out.where(F.col("rows") > 1).dropDuplicates(["keep_id", "digest"]))
+    return unnest(once, docs.columns)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import WORD_PATTERN, stage_table
+from tabloom.llm.common import nest, stage_table, unnest, WORD_PATTERN
 
 CHUNK_ROWS = 4096
 OFFSET_STEPS = 1 << 20  # offsets are multiples of 2**-20: sums with counts stay exact
@@ -135,17 +135,17 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         copies(docs, id_col, text_col, source_col, **options)
         .groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"),
                                                  F.count(F.lit(1)).alias("_rows")), "copies")
-    take = take.where("_copies > 0").toDF("_id", "_source", "_size", "_copies", "_rows")
-    hit = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
-           & (words(F.col(text_col)) == F.col("_size")))
-    out = docs.join(take, hit)
-    single = out.where("_rows = 1")
-    many = out.where("_rows > 1")
-    if not take.where("_rows > 1").isEmpty():
-        w = Window.partitionBy("_id", "_source", "_size").orderBy(F.col(text_col))
-        q = F.floor(F.col("_copies") / F.col("_rows"))
-        many = many.withColumn("_nth", F.row_number().over(w)).withColumn(
-            "_copies", (q + (F.col("_nth") <= F.col("_copies") - q * F.col("_rows")).cast("long")))
-        single = single.unionByName(many.drop("_nth"))
-    return single.withColumn("_nth", F.explode(F.array_repeat(
-        F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    take = take.where("_copies > 0").toDF("t_id", "t_source", "t_size", "copies", "rows")
+    out = nest(docs, id=F.col(id_col), source=F.col(source_col), size=words(F.col(text_col))).join(
+        take, F.col("id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source"))
+        & (F.col("size") == F.col("t_size")))
+    single = out.where(F.col("rows") == 1)
+    if not take.where(F.col("rows") > 1).isEmpty():
+        w = Window.partitionBy("t_id", "t_source", "t_size").orderBy(
+            F.col("row").getField(text_col))
+        q = F.floor(F.col("copies") / F.col("rows"))
+        many = out.where(F.col("rows") > 1).withColumn("nth", F.row_number().over(w)).withColumn(
+            "copies", (q + (F.col("nth") <= F.col("copies") - q * F.col("rows")).cast("long")))
+        single = single.unionByName(many.drop("nth"))
+    again = single.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return unnest(again, docs.columns)

@@ -23,8 +23,8 @@ more similar pairs far less.
 
 Defined cases: null text is empty; documents without words are linked with
 nothing and stay; null ids take no part (component null, kept); rows that
-repeat an id are one document, with the set of one of them; an empty table
-gives an empty result.
+repeat an id are compared each with its own set; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import spread, stage_table
+from tabloom.llm.common import nest, spread, stage_table, unnest
 
 SHINGLE = 5
 LANES = 192
@@ -121,8 +121,10 @@ def set_digest(s: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, digest, lanes (low 16 bits of each min-hash), keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()),
+    """doc_id, text_key, n_shingles, digest, lanes (low 16 bits of each
+    min-hash), keys."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()),
+                        ("n_shingles", pa.int64()),
                         ("digest", pa.binary()), ("lanes", pa.binary()),
                         ("keys", pa.list_(pa.int64()))])
 
@@ -140,14 +142,15 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, percent: int = 85) -> Da
             keys = band_keys(sig, percent)
             lanes = (sig & np.uint32(0xFFFF)).astype("<u2")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array([r.tobytes() for r in lanes], pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()),
+                 pa.array(digest, pa.binary()), pa.array([r.tobytes() for r in lanes], pa.binary()),
                  pa.array(list(keys), pa.list_(pa.int64()))], schema=schema)
 
     rows = spread(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                              F.col(text_col).alias("text")))
+                              F.col(text_col).alias("text"),
+                              F.xxhash64(text_col).alias("text_key")))
     return rows.mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, lanes binary, keys array<long>")
+        run, "doc_id long, text_key long, n_shingles long, digest binary, lanes binary, keys array<long>")
 
 
 def least_matches(lanes: int, threshold: float, miss: float) -> np.ndarray:
@@ -217,11 +220,12 @@ def full_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
               text_col: str) -> DataFrame:
     """(doc_id, items) of the classes with these ids: their sets, made anew."""
     ids = stage_table(ids, "needed")
-    wanted = classes.join(ids, classes["doc_id"] == ids["id"], "left_semi").select(
-        "doc_id", "digest")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    needed = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = texts.join(needed, texts["doc_id"] == needed["id"], "left_semi")
+    wanted = stage_table(classes.join(ids, classes["doc_id"] == ids["id"], "left_semi").select(
+        "doc_id", "rep", "digest"), "wanted")
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
+    needed = wanted.select("rep").distinct()
+    needed = F.broadcast(needed) if wanted.count() <= BROADCAST_IDS else needed
+    texts = texts.join(needed, "rep", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,10 +233,10 @@ def full_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([set_digest(s) for s in got], pa.binary()),
                  pa.array([s.view(np.int64) for s in got], pa.list_(pa.int64()))],
-                names=["doc_id", "digest", "items"])
+                names=["rep", "digest", "items"])
 
-    items = texts.mapInArrow(sets, "doc_id long, digest binary, items array<long>")
-    return stage_table(items.join(wanted, ["doc_id", "digest"], "left_semi")
+    items = texts.mapInArrow(sets, "rep long, digest binary, items array<long>")
+    return stage_table(items.join(wanted, ["rep", "digest"])
                        .dropDuplicates(["doc_id"]).select("doc_id", "items"), "sets")
 
 
@@ -344,13 +348,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Links reach ``100 * intersection >= percent * union``.
     """
-    spark = docs.sparkSession
+    return decide(docs, id_col, text_col, percent, miss).drop("text_key", "component")
+
+
+def decide(docs: DataFrame, id_col: str, text_col: str, percent: int, miss: float = MISS
+           ) -> DataFrame:
+    """``near_groups`` with ``text_key``, a hash of the text, and a number of
+    the ``component``: two of them can have one id that other texts share."""
     rows = stage_table(sketch(docs, id_col, text_col, percent), "sketches")
     sets = rows.where("n_shingles > 0 and doc_id is not null")
-    reps = stage_table(sets.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    # a class is numbered apart from ids, which other texts may share
+    reps = stage_table(sets.groupBy("digest").agg(F.min("doc_id").alias("rep")).withColumn(
+        "class", F.monotonically_increasing_id()), "classes")
     classes = stage_table(
-        sets.join(reps.select(F.col("rep").alias("doc_id"), F.col("digest").alias("d")), "doc_id")
-        .where("digest = d").dropDuplicates(["doc_id"]).drop("d"), "class-sketches")
+        sets.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"])
+        .dropDuplicates(["class"]).select(F.col("class").alias("doc_id"), F.col("doc_id").alias(
+            "rep"), "n_shingles", "digest", "lanes", "keys"), "class-sketches")
     # buckets of two classes or more
     buckets = classes.select("doc_id", F.explode("keys").alias("key"))
     order = [F.struct(F.xxhash64("doc_id", F.lit(i)).alias("o"), F.col("doc_id").alias("p"))
@@ -392,24 +405,46 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = stage_table(components(found.select(
             F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)),
             "components")
-    classed = reps.join(found, reps["rep"] == found["id"], "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    classed = stage_table(classed, "class-components")
-    slim = rows.select("doc_id", "n_shingles", "digest")
+    classed = stage_table(reps.join(found, reps["class"] == found["id"], "left").select(
+        "digest", "rep", F.coalesce("component", "class").alias("component")), "class-components")
+    lowest = classed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    classed = classed.join(lowest, "component").select("digest", "component", "component_id")
+    slim = rows.select("doc_id", "text_key", "n_shingles", "digest")
     linked = slim.where("n_shingles > 0 and doc_id is not null").join(classed, "digest").select(
-        "doc_id", "n_shingles", F.col("component").alias("component_id"))
+        "doc_id", "text_key", "n_shingles", "component", "component_id")
     alone = slim.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        "doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("component"),
+        F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = 85) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    groups = stage_table(near_groups(docs, id_col, text_col, percent), "near-groups")
-    gone = stage_table(groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(),
-                       "near-copies")
+    """The documents that stay, with all their columns: one of each group,
+    and all documents without words or id.
+
+    Rows go by id and text.  Of rows of a group that share the id that stays,
+    the one with the least hash of its text stays, and of equal ones, one.
+    """
+    groups = stage_table(decide(docs, id_col, text_col, percent), "near-groups")
+    stays = groups.where("kept and component is not null")
+    shared = stage_table(stays.groupBy("component").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("text_key").alias("first"),
+        F.first("doc_id").alias("shared_id")).where("rows > 1"), "shared-ids")
+    gone = groups.where("not kept").select("doc_id", "text_key")
+    again = not shared.isEmpty()
+    if again:
+        gone = gone.unionByName(stays.join(shared, "component").where("text_key <> first").select(
+            "doc_id", "text_key"))
+    gone = stage_table(gone.distinct().toDF("gone_id", "gone_key"), "near-copies")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    rows = nest(docs, id=F.col(id_col).cast("long"), key=F.xxhash64(text_col))
+    left = rows.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("key") == F.col("gone_key")),
+                     "left_anti")
+    if again:
+        hit = (F.col("id") == F.col("shared_id")) & (F.col("key") == F.col("first"))
+        alike = left.join(shared, hit, "left_semi")
+        left = left.join(shared, hit, "left_anti").unionByName(alike.dropDuplicates(["id", "key"]))
+    return unnest(left, docs.columns)

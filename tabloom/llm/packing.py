@@ -199,10 +199,9 @@ def best_fit_decreasing(lengths, window: int) -> tuple[list[int], list[int]]:
 
 def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Adds sequence_id and offset; ``pieces`` is read twice, so stage it."""
-    n = pieces.where(F.col("length") < window).count()
-    groups = max(1, -(-n // group_pieces))
-    # full windows need no partner; they are spread like the others
-    dealt = pieces.withColumn("group", F.pmod(
+    rest = pieces.where(F.col("length") < window)
+    groups = max(1, -(-rest.count() // group_pieces))
+    dealt = rest.withColumn("group", F.pmod(
         F.xxhash64("doc_id", "row_key", "start"), F.lit(groups)))
     cols = [c for c in pieces.columns]
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
@@ -212,10 +211,14 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIEC
                               ascending=[False, True, True, True], kind="stable")
         which, offset = best_fit_decreasing(pdf["length"].tolist(), window)
         base = int(pdf["group"].iloc[0]) << 24  # a group opens fewer windows than 2**24
-        return pdf[cols].assign(sequence_id=base + np.array(which, dtype=np.int64),
+        return pdf[cols].assign(sequence_id=2 * (base + np.array(which, dtype=np.int64)),
                                 offset=np.array(offset, dtype=np.int64))
 
-    return dealt.groupBy("group").applyInPandas(fill, ddl + ", sequence_id long, offset long")
+    filled = dealt.groupBy("group").applyInPandas(fill, ddl + ", sequence_id long, offset long")
+    # full windows need no partner: each is a sequence, of an odd number
+    full = pieces.where(F.col("length") >= window).withColumns({
+        "sequence_id": 2 * F.monotonically_increasing_id() + 1, "offset": F.lit(0).cast("long")})
+    return filled.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",

@@ -46,7 +46,7 @@ def canonical(host: Column, path: Column) -> Column:
     """Host without a leading ``www.``, path without trailing slashes; null
     where there is no host."""
     return F.when(host != "", F.concat(F.regexp_replace(host, r"^www\.", ""),
-                                       F.regexp_replace(path, "/+$", "")))
+                                       F.regexp_replace(path, r"/+\z", "")))
 
 
 def _bits(h: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:

@@ -117,7 +117,7 @@ def test_pipeline_agrees_with_its_parts(spark):
         groups.setdefault(t.encode().lower(), []).append(i)
     single = {max(v) for v in groups.values()}
     assert {r["doc_id"] for r in step["exact_dedup"].collect()} == single
-    want = brute_components([(i, kept[i]) for i in single])
+    want = brute_components([(i, kept[i]) for i in single], 80)
     apart = {i for i, (_, c) in want.items() if i == c}
     assert {r["doc_id"] for r in step["near_dedup"].collect()} == apart
     take = {r["doc_id"]: r["copies"] for r in mixing.copies(step["near_dedup"]).collect()}
