@@ -28,9 +28,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """10: one document of each component of near copies."""
+    """10: one document of each component of near copies, at 0.8."""
     ship_package(spark)
-    return near_dedup.dedup_documents(docs)
+    return near_dedup.dedup_documents(docs, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
