@@ -1,135 +1,24 @@
-"""DBSCAN (C3), exact, Euclidean, as Spark jobs over tiled point blocks.
-
-1. equal feature rows are merged into one point carrying the summed weight
-   (bootstrap multiplicities, duplicates) -- a grouped aggregate;
-2. core test: every tile returns, per query point, the weight of its
-   references within ``eps``; summed per point (itself included) and
-   compared with ``min_samples``;
-3. connected components of the core-core graph: each round a tiled pass
-   gives every point the smallest component label among core points within
-   ``eps``; core points take the minimum with their own label, then one
-   pointer jump (label := label of the point the label names) halves the
-   remaining distance.  Rounds repeat until no label changes; the state is
-   checkpointed reliably each round;
-4. a non-core point within ``eps`` of a core point takes the smallest such
-   component (the reference takes the first one its scan reaches; core
-   points, noise and the number of clusters do not depend on that choice);
-   other points are noise (-1);
-5. components are numbered 0.. in order of their smallest point id.
-
-No pair of points is ever materialised: tiles return one row per query
-point.  See ``pairwise`` for the tiling.
-"""
+"""DBSCAN (C3), exact, Euclidean: one setting of ``density``."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from tabloom.operators import pairwise as PW
+from tabloom.operators import blocks as B
+from tabloom.operators.cluster.density import density_clusters, merge_duplicates, near_blocks
 from tabloom.operators.columns import col
 from tabloom.session import cut_lineage
 
 
-def merge_duplicates(df: DataFrame, id_col: str, features: list[str],
-                     weight: str | None = None) -> DataFrame:
-    w = F.lit(1.0) if weight is None else col(weight).cast("double")
-    return df.groupBy(*[col(f).cast("double").alias(f) for f in features]).agg(
-        F.min(col(id_col)).alias("pid"), F.sum(w).alias("w"))
-
-
-def _neighbour_weight(points: DataFrame, features: list[str], eps: float, n: int,
-                      block_rows: int) -> DataFrame:
-    eps2 = eps * eps
-
-    def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"),
-                                 "nw": pd.Series(dtype="float64")})
-        qx, rx = PW.matrix(q, features), PW.matrix(r, features)
-        rw = r["w"].to_numpy(dtype=np.float64)
-        out = []
-        for s in range(0, len(q), PW.CHUNK):
-            qs = qx[s:s + PW.CHUNK]
-            d2 = PW.exact_sq_near(qs, rx, PW.sq_distances(qs, rx), eps2)
-            out.append((d2 <= eps2) @ rw)
-        return pd.DataFrame({"qid": q["pid"].to_numpy(dtype=np.int64),
-                             "nw": np.concatenate(out)})
-
-    part = PW.run_tiles(points, "pid", features, kernel, "qid long, nw double", n=n,
-                        block_rows=block_rows)
-    return part.groupBy("qid").agg(F.sum("nw").alias("nw"))
-
-
-def _min_core_label(points: DataFrame, features: list[str], eps: float, n: int,
-                    block_rows: int) -> DataFrame:
-    """Per point: smallest label among core points within eps (NULL if none)."""
-    eps2 = eps * eps
-    big = np.iinfo(np.int64).max
-
-    def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        r = r[r["core"]]
-        if q.empty or r.empty:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"),
-                                 "m": pd.Series(dtype="int64")})
-        qx, rx = PW.matrix(q, features), PW.matrix(r, features)
-        lab = r["label"].to_numpy(dtype=np.int64)
-        out = []
-        for s in range(0, len(q), PW.CHUNK):
-            qs = qx[s:s + PW.CHUNK]
-            d2 = PW.exact_sq_near(qs, rx, PW.sq_distances(qs, rx), eps2)
-            cand = np.where(d2 <= eps2, lab[None, :], big)
-            out.append(cand.min(axis=1))
-        m = np.concatenate(out)
-        keep = m < big
-        return pd.DataFrame({"qid": q["pid"].to_numpy(dtype=np.int64)[keep], "m": m[keep]})
-
-    part = PW.run_tiles(points, "pid", features, kernel, "qid long, m long", n=n,
-                        block_rows=block_rows)
-    return part.groupBy("qid").agg(F.min("m").alias("m"))
-
-
 def dbscan(df: DataFrame, id_col: str, features: list[str], eps: float, min_samples: float,
-           weight: str | None = None, block_rows: int = PW.BLOCK_ROWS) -> DataFrame:
-    """Input rows + ``prediction`` (cluster number, -1 = noise).
-
-    Labels only ever fall, so the rounds end."""
+           weight: str | None = None, block_rows: int = B.ROWS) -> DataFrame:
+    """Input rows + ``prediction`` (cluster number, -1 = noise)."""
     points = cut_lineage(merge_duplicates(df, id_col, features, weight))
-    n = points.count()
-    nw = _neighbour_weight(points, features, eps, n, block_rows)
-    state = cut_lineage(points.join(nw, points["pid"] == nw["qid"], "left")
-                        .withColumn("core", F.coalesce(F.col("nw"), F.lit(0.0)) >= min_samples)
-                        .withColumn("label", F.when(F.col("core"), F.col("pid")))
-                        .drop("qid", "nw"))
-    changed, m = 1, None
-    while changed:
-        m = cut_lineage(_min_core_label(state, features, eps, n, block_rows))
-        prop = (state.join(m, state["pid"] == m["qid"], "left")
-                .withColumn("new", F.when(F.col("core"), F.least(F.col("label"), F.col("m"))))
-                .drop("qid", "m"))
-        # pointer jump: a core label names a core point; take that point's label
-        ref = prop.filter(F.col("core")).select(F.col("pid").alias("rp"),
-                                                F.col("new").alias("jump"))
-        jumped = (prop.join(ref, prop["new"] == ref["rp"], "left")
-                  .withColumn("new", F.when(F.col("core"),
-                                            F.least(F.col("new"), F.col("jump"))))
-                  .drop("rp", "jump"))
-        changed = jumped.filter(F.col("core") & (F.col("new") != F.col("label"))).count()
-        state = cut_lineage(jumped.withColumn("label", F.col("new")).drop("new"))
-    # border points: smallest core label within eps, as the last round, which
-    # changed no label, has found it
-    labelled = (state.join(m, state["pid"] == m["qid"], "left")
-                .withColumn("comp", F.when(F.col("core"), F.col("label")).otherwise(F.col("m")))
-                .select("pid", *features, "comp"))
-    comps = labelled.filter(F.col("comp").isNotNull()).select("comp").distinct()
-    # one row per cluster: the numbering window sees only cluster ids
-    numbered = comps.withColumn("prediction",
-                                (F.row_number().over(Window.orderBy("comp")) - 1).cast("int"))
-    labelled = (labelled.join(numbered, "comp", "left")
-                .withColumn("prediction", F.coalesce(F.col("prediction"), F.lit(-1)))
-                .drop("comp", "pid"))
-    keyed = df.withColumns({f: col(f).cast("double") for f in features})
-    return keyed.join(labelled, features, "left")
+    blocks = near_blocks(points, features, eps, block_rows)
+    if not blocks.count:
+        return df.withColumn("prediction", F.lit(None).cast("int"))
+    labels = B.unpack(density_clusters(blocks, [(eps, min_samples)]), ["prediction"])
+    named = points.join(labels, points["pid"] == labels["id"]).select(*features, "prediction")
+    keyed = df.withColumns({f: col(f).cast("double") + F.lit(0.0) for f in features})
+    return keyed.join(named, features, "left")

@@ -1,44 +1,44 @@
-"""K-means (C1) on ``pyspark.ml``.
+"""K-means (C1): restarts in shared passes (see ``restarts``).
 
-Spark's ``KMeans`` (k-means|| start, Lloyd rounds as distributed
-aggregates) has no ``n_init``: the reference's 24 restarts are 24 seeded
-fits, keeping the lowest within-cluster cost (ties: lowest seed).  The
-restarts are submitted from a few driver threads at once, so their small
-jobs interleave on the cluster instead of queueing.  Rows may carry weights.
+The reference's 24 restarts are 24 starts that move together; the one with
+the lowest within-cluster cost is kept (ties: lowest seed).  Rows may carry
+weights.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
 
-from tabloom.operators.encode import assemble
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 
-PARALLEL_FITS = 8
+from tabloom.operators import blocks as B
+from tabloom.operators.cluster.restarts import Start, best_start, nearest, run_starts
+from tabloom.operators.columns import col
 
 
 def fit_kmeans(df: DataFrame, features: list[str], k: int, n_init: int = 1, seed: int = 42,
                weight: str | None = None, max_iter: int = 300, tol: float = 1e-4) -> dict:
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark import StorageLevel
-
-    vec = assemble(df, features, "__kfeat").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def one(run):
-        est = KMeans(k=k, seed=seed + run, featuresCol="__kfeat", predictionCol="prediction",
-                     initMode="k-means||", maxIter=max_iter, tol=tol)
-        if weight:
-            est = est.setWeightCol(weight)
-        model = est.fit(vec)
-        return model.summary.trainingCost, run, model
-
-    with ThreadPoolExecutor(max_workers=min(n_init, PARALLEL_FITS)) as pool:
-        fits = list(pool.map(one, range(n_init)))
-    best = min(fits, key=lambda t: (t[0], t[1]))
-    best = (best[0], best[2])
-    cost, model = best
-    preds = model.transform(vec).drop("__kfeat")
-    vec.unpersist()
-    return {"model": model, "cost": cost, "predictions": preds,
-            "centers": [list(map(float, c)) for c in model.clusterCenters()]}
+    """``model``: the best start; ``cost``; ``centers``; ``predictions``:
+    rows + ``prediction``."""
+    starts = [Start(k, seed + run) for run in range(n_init)]
+    best = best_start(run_starts(B.pack(df, features, weight=weight), starts, max_iter, tol))
+    return {"model": best, "cost": best.cost, "centers": best.centers.tolist(),
+            "predictions": predict(df, features, best)}
+
+
+def predict(df: DataFrame, features: list[str], start: Start,
+            output: str = "prediction") -> DataFrame:
+    """Any rows + the number of their nearest centre (ties: the lowest)."""
+    xs = [f"__x{i}" for i in range(len(features))]
+    staged = df.select("*", *[col(f).cast("double").alias(x) for f, x in zip(features, xs)])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def kernel(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = pdf.drop(columns=xs)
+            out[output] = nearest(pdf[xs].to_numpy(dtype=np.float64), [start])[0][0]
+            yield out
+
+    return staged.mapInPandas(kernel, f"{fields}, `{output}` int")

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from tabloom.operators import metrics as K
 from tabloom.operators.columns import col
 from tabloom.operators.cluster.gmm import (fit_diagonal_mixture, init_from_labels,
-                                           log_likelihood, predict)
-from tabloom.operators.cluster.gmm_full import fit_full_mixture, predict_full
-from tabloom.operators.sweep import GMM_PENALTY, SPACES, random_trials, sweep
+                                           log_likelihood)
+from tabloom.operators.sweep import (SPACES, random_trials, sweep_birch, sweep_dbscan,
+                                     sweep_kmeans, sweep_mixtures)
 from tabloom.plans import clustering as C
 from tabloom.plans import standins as S
 from tabloom.plans.q_tabular import CLEAN_WITH
@@ -173,48 +173,27 @@ _score_query("dbscan_scores", "dbscan")
 _score_query("birch_scores", "birch")
 
 
-def _sweep_query(name: str, model: str, n_trials: int = 40):
+def _sweep_query(name: str, model: str, n_trials: int, run):
     @register(name)
     def _q(spark, sf):
         sample, names = C.clustering_sample(spark, sf)
-
-        def objective(params):
-            labelled = C.run_model(sample, names, model, params)
-            n_clusters = labelled.filter(F.col("prediction") >= 0) \
-                .select("prediction").distinct().count()
-            if n_clusters < 2:
-                return -1.0, n_clusters
-            sil = K.silhouette(labelled, "row_id", names, "prediction", "weight").first()[0]
-            return sil, n_clusters
-
-        return sweep(spark, random_trials(SPACES[model], n_trials, seed=42), objective,
-                     "maximize")
+        trials = random_trials(SPACES[model], n_trials, seed=C.SEED)
+        return run(sample, names, trials)
     _q.__doc__ = (f"{n_trials} seeded random trials of the {model} space on the weighted "
-                  "accident sample, silhouette maximised (fewer than 2 clusters: -1).")
+                  "accident sample, all in shared passes.")
     return _q
 
 
-_sweep_query("h1_sweep_kmeans", "kmeans")
-_sweep_query("h1_sweep_birch", "birch")
-_sweep_query("h1_sweep_dbscan", "dbscan")
-
-
-@register("h1_sweep_gmm")
-def _sweep_gmm(spark, sf):
-    """50 seeded random trials of the mixture space on the weighted accident
-    sample, BIC minimised (fewer than 2 components used: 1e6 more)."""
-    sample, names = C.clustering_sample(spark, sf)
-
-    def objective(p):
-        whole = p["covariance"] in ("full", "tied")
-        fit, label = (fit_full_mixture, predict_full) if whole else (fit_diagonal_mixture, predict)
-        m = fit(sample, names, p["k"], reg=p["reg"], seed=C.SEED, weight="weight",
-                covariance=p["covariance"])
-        used = label(sample, names, m).select("prediction").distinct().count()
-        score = float(K.bic(m.log_likelihood, m.n, p["k"], len(names), p["covariance"]))
-        return score + (GMM_PENALTY if used < 2 else 0.0), used
-
-    return sweep(spark, random_trials(SPACES["gmm"], 50, seed=42), objective, "minimize")
+# Fixed values of the reference: 40 trials by silhouette (-1 for fewer than 2
+# clusters), 50 mixtures by BIC.
+_sweep_query("h1_sweep_kmeans", "kmeans", 40, lambda sample, names, trials: sweep_kmeans(
+    sample, "row_id", names, trials, C.SEED, "weight"))
+_sweep_query("h1_sweep_birch", "birch", 40, lambda sample, names, trials: sweep_birch(
+    sample, "row_id", names, trials, "weight"))
+_sweep_query("h1_sweep_dbscan", "dbscan", 40, lambda sample, names, trials: sweep_dbscan(
+    sample, "row_id", names, trials, "weight"))
+_sweep_query("h1_sweep_gmm", "gmm", 50, lambda sample, names, trials: sweep_mixtures(
+    sample, names, trials, C.SEED, "weight"))
 
 
 @register("k4_gmm_bic")

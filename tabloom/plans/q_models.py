@@ -272,17 +272,17 @@ def _durp(spark, sf):
 
 @register("g1_entropy_tree")
 def _g1(spark, sf):
-    return classify_crashes(prepared_crashes(spark, sf), "alignment", ["entropy"])
+    return classify_crashes(prepared_crashes(spark, sf), TARGETS, ["entropy"])
 
 
 @register("g2_gini_tree")
 def _g2(spark, sf):
-    return classify_crashes(prepared_crashes(spark, sf), "alignment", ["gini"])
+    return classify_crashes(prepared_crashes(spark, sf), TARGETS, ["gini"])
 
 
 @register("g3_random_forest")
 def _g3(spark, sf):
-    return classify_crashes(prepared_crashes(spark, sf), "alignment", ["forest"])
+    return classify_crashes(prepared_crashes(spark, sf), TARGETS, ["forest"])
 
 
 @register("g5_target_sweep")

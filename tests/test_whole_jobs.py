@@ -3,41 +3,72 @@ import numpy as np
 import pytest
 
 from tabloom.operators.cluster.gmm_full import fit_full_mixture, predict_full
+from tabloom.operators import sweep
+from tabloom.operators.sweep import SPACES, random_trials
 from tabloom.plans import classification, q_cluster, q_models, registry
 
 
-@pytest.fixture(autouse=True)
-def loaded():
-    registry.load_all()
+def crash_rows(n=240, seed=3):
+    """Crashes whose targets follow a feature, with noise and missing values."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        w, l = rng.choice(["CLEAR", "RAIN", None], 2)
+        pick = lambda a, b: str(a if (w == "RAIN") ^ (rng.random() < 0.1) else b)
+        out.append((i, None if w is None else str(w), None if l is None else str(l),
+                    pick("S", "C"), pick("I", "N"), pick("$1", "$2"),
+                    None if i % 9 == 0 else pick("NONE", "LIGHT"), pick("REAR", "TURN"),
+                    int(rng.integers(0, 4))))
+    return out
 
 
-@pytest.mark.parametrize("name", ["g5_target_sweep", "impute_then_classify"])
-def test_every_target_and_model(spark, monkeypatch, name):
-    ran = []
+CRASH_COLUMNS = ("crash_id long, weather_condition string, lighting_condition string, "
+                 "alignment string, crash_type string, damage string, "
+                 "traffic_control_device string, first_crash_type string, injuries_total int")
 
-    def fake(df, target, models=("entropy", "gini", "forest"), **options):
-        ran.extend((target, m) for m in models)
-        return spark.createDataFrame([(target, m, 1.0) for m in models],
-                                     "target string, model string, accuracy double")
 
-    frame = spark.range(1)
-    monkeypatch.setattr(classification, "classify_crashes", fake)
-    monkeypatch.setattr(q_models, "classify_crashes", fake)
+@pytest.mark.parametrize("name", ["g5_target_sweep", "impute_then_classify"])
+def test_every_target_and_model(spark, monkeypatch, name):
+    registry.load_all()
+    frame = spark.createDataFrame(crash_rows(), CRASH_COLUMNS)
     monkeypatch.setattr(q_models, "prepared_crashes", lambda *a: frame)
     monkeypatch.setattr(q_models, "impute_crashes", lambda *a: frame)
-    got = registry.QUERIES[name](spark, "unused")
+    monkeypatch.setattr(classification, "N_TREES", 12)
+    got = {(r["target"], r["model"]): r["accuracy"]
+           for r in registry.QUERIES[name](spark, "unused").collect()}
     want = {(t, m) for t in classification.TARGETS for m in ("entropy", "gini", "forest")}
-    assert len(classification.TARGETS) == 5 and set(ran) == want and got.count() == 15
+    assert len(classification.TARGETS) == 5 and set(got) == want
+    assert all(0.5 < a <= 1 for a in got.values())
+
+
+def blob_sample(spark, n=90):
+    rng = np.random.default_rng(8)
+    x = np.r_[rng.normal(0, 0.4, (n, 3)), rng.normal(4, 0.4, (n, 3)), rng.normal([8, 0, 4], 0.4, (n, 3))]
+    rows = [(i, float(1 + i % 3), *map(float, v)) for i, v in enumerate(x)]
+    names = ["f0", "f1", "f2"]
+    return spark.createDataFrame(rows, "row_id long, weight double, f0 double, f1 double, f2 double"
+                                 ).repartition(3), names
 
 
 @pytest.mark.parametrize("model,trials", [("kmeans", 40), ("birch", 40), ("dbscan", 40), ("gmm", 50)])
-def test_every_trial(spark, monkeypatch, model, trials):
-    seen = []
-    frame = spark.createDataFrame([(0,), (1,)], "prediction int")
-    monkeypatch.setattr(q_cluster.C, "clustering_sample", lambda *a: (frame, []))
-    monkeypatch.setattr(q_cluster, "sweep", lambda spark, runs, objective, way: seen.extend(runs))
-    registry.QUERIES[f"h1_sweep_{model}"](spark, "unused")
-    assert len(seen) == trials
+def test_every_trial_is_a_real_fit(spark, monkeypatch, model, trials):
+    registry.load_all()
+    sample, names = blob_sample(spark)
+    monkeypatch.setattr(q_cluster.C, "clustering_sample", lambda *a: (sample, names))
+    got = registry.QUERIES[f"h1_sweep_{model}"](spark, "unused").orderBy("trial").collect()
+    assert len(got) == trials and sum(r["best"] for r in got) == 1
+    pick = min if model == "gmm" else max
+    assert next(r["score"] for r in got if r["best"]) == pick(r["score"] for r in got)
+    # a trial of its own gives the same row
+    space = random_trials(SPACES[model], trials, seed=42)
+    single = {"kmeans": lambda t: sweep.sweep_kmeans(sample, "row_id", names, [t], 42, "weight"),
+              "birch": lambda t: sweep.sweep_birch(sample, "row_id", names, [t], "weight"),
+              "dbscan": lambda t: sweep.sweep_dbscan(sample, "row_id", names, [t], "weight"),
+              "gmm": lambda t: sweep.sweep_mixtures(sample, names, [t], 42, "weight")}[model]
+    for i in (0, trials - 1):
+        alone = single(space[i]).first()
+        assert alone["n_clusters"] == got[i]["n_clusters"]
+        assert alone["score"] == pytest.approx(got[i]["score"], rel=1e-9)
 
 
 @pytest.mark.parametrize("covariance", ["full", "tied"])
