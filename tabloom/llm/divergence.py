@@ -137,6 +137,15 @@ class Bitmap:
 
     def __init__(self, bits: int, data: bytes):
         self.bits, self.data = bits, data
+        self.asked: dict[bytes, dict[bytes, bool]] = {}
+
+    def known(self, lang: bytes) -> dict[bytes, bool]:
+        """Answers given so far, of a bounded number."""
+        found = self.asked.setdefault(lang, {})
+        if sum(map(len, self.asked.values())) > FLUSH:
+            found.clear()
+            self.asked = {lang: found}
+        return found
 
     def has(self, lang: bytes, item: bytes) -> bool:
         at = _slot(lang, item, self.bits)
@@ -190,9 +199,18 @@ def level_counts(lists: DataFrame, low: int, high: int, parents) -> DataFrame:
         for c in chunks(batches):
             items = Numbers()
             item_of = np.full(len(c.vocab), -1, dtype=np.int64)
+            known = kept.known(c.key) if kept is not None else None
             for i, t in enumerate(c.vocab):
-                if len(t) > low and (kept is None or kept.has(c.key, t[:low] + OPEN)):
-                    item_of[i] = items[t if len(t) <= high else t[:high] + OPEN]
+                if len(t) <= low:
+                    continue
+                if known is not None:
+                    head = t[:low]
+                    ok = known.get(head)
+                    if ok is None:
+                        ok = known[head] = kept.has(c.key, head + OPEN)
+                    if not ok:
+                        continue
+                item_of[i] = items[t if len(t) <= high else t[:high] + OPEN]
             if items:
                 item = item_of[c.ids]
                 mine = item >= 0
@@ -274,8 +292,13 @@ def term_counts(lists: DataFrame, kept: DataFrame) -> DataFrame:
 
         for c in chunks(batches):
             names, sources, parts = held.setdefault(c.lang, (Numbers(), Numbers(), []))
-            to = np.array([names[t] if marked.has(c.key, t) else -1 for t in c.vocab],
-                          dtype=np.int64)
+            to = np.full(len(c.vocab), -1, dtype=np.int64)
+            for i, t in enumerate(c.vocab):
+                at = names.get(t)
+                if at is not None:
+                    to[i] = at
+                elif marked.has(c.key, t):
+                    to[i] = names[t]
             if not len(to):
                 continue
             term = to[c.ids]
