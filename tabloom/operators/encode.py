@@ -104,6 +104,19 @@ def class_codes(df: DataFrame, target: str, output: str = "label") -> DataFrame:
                          stringOrderType="alphabetAsc").fit(df).transform(df)
 
 
+def encode_labels(df: DataFrame, column: str, output: str = "code") -> DataFrame:
+    """E4 with any number of values: dense codes are positions in a range
+    partitioning of the distinct values, and a join puts them on the rows
+    (broadcast by the planner while the dictionary is small; adaptive
+    execution splits a hot value's rows).  Missing -> -1."""
+    from tabloom.operators.graphs import numbered
+    values = df.select(col(column).alias("__value")).where("__value is not null").distinct()
+    codes = numbered(values, ["__value"], "__code")
+    coded = df.join(codes, col(column) == F.col("__value"), "left").withColumn(
+        output, F.coalesce(F.col("__code").cast("int"), F.lit(-1)))
+    return coded.select(*[col(c) for c in df.columns], output)
+
+
 def label_codes(c, values: list[str]):
     """Position in the sorted value list, missing/unseen -> -1."""
     arr = F.array(*[F.lit(v) for v in values])

@@ -10,12 +10,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.numeric import band, jitter
-from tabloom.operators import pairwise as PW
+from tabloom.operators import blocks as B
 from tabloom.operators.columns import col
 
 
@@ -99,7 +99,7 @@ def davies_bouldin(df: DataFrame, features: list[str], label: str = "prediction"
     """K3: mean over clusters of max_j (s_i + s_j) / d(c_i, c_j).
 
     s_i (mean distance to the own centroid) is a grouped aggregate over the
-    rows; the final k x k step runs on the k centroids only.
+    rows; the pairs of clusters meet in tiles of two blocks of centroids.
     """
     spark = df.sparkSession
     w = _w(weight)
@@ -107,19 +107,33 @@ def davies_bouldin(df: DataFrame, features: list[str], label: str = "prediction"
     joined = df.join(cent, col(label) == F.col("__label"))
     dist = F.sqrt(sum((col(f) - F.col(f"__c{i}")) ** 2 for i, f in enumerate(features)))
     spread = joined.groupBy("__label").agg((F.sum(w * dist) / F.sum(w)).alias("__s"))
-    rows = cent.join(spread, "__label").orderBy("__label").collect()
-    if len(rows) < 2:
+    names = [f"__c{i}" for i in range(len(features))]
+    # a centroid's block carries s as its weight
+    blocks = B.pack(cent.join(spread, "__label"), names, None, "__s", rows=1024)
+    found = B.fold(blocks, lambda b: np.array([b.m, (np.abs(b.w) > 1e-8).sum()], dtype=float))
+    if found is None or found[0] < 2:
         raise ValueError("Davies-Bouldin needs at least 2 labels")
-    c = np.array([[r[f"__c{i}"] for i in range(len(features))] for r in rows])
-    s = np.array([r["__s"] for r in rows])
-    d = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(-1))
-    if np.allclose(s, 0) or np.allclose(d, 0):
-        score = 0.0
-    else:
+
+    def ratios(a: B.Block, b: B.Block) -> list[tuple]:
+        d = np.sqrt(((a.x[:, None, :] - b.x[None, :, :]) ** 2).sum(axis=-1))
         d[d == 0] = np.inf
-        ratio = (s[:, None] + s[None, :]) / d
-        np.fill_diagonal(ratio, -np.inf)
-        score = float(np.mean(ratio.max(axis=1)))
+        r = (a.w[:, None] + b.w[None, :]) / d
+        if a.id == b.id:
+            np.fill_diagonal(r, -np.inf)
+        out = [(a.id, b.id, r.max(axis=1).tobytes())]
+        return out + ([(b.id, a.id, r.max(axis=0).tobytes())] if a.id != b.id else [])
+
+    best = B.sum_states(B.tiles(blocks, ratios, "block long, other long, v binary"), blocks,
+                        merge=np.maximum)
+
+    def means(batches):
+        for batch in batches:
+            v = [np.frombuffer(x, "<f8") for x in batch.column("v").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([float(x.sum()) for x in v], pa.float64()),
+                                              pa.array([len(x) for x in v], pa.int64())], ["s", "n"])
+
+    row = best.mapInArrow(means, "s double, n long").agg(F.sum("s"), F.sum("n")).first()
+    score = 0.0 if not found[1] else float(row[0] / row[1])
     return spark.createDataFrame([(score,)], "davies_bouldin double")
 
 
@@ -135,73 +149,26 @@ def bic(log_likelihood: float, n: float, k: int, d: int, covariance: str = "diag
     return -2.0 * log_likelihood + n_parameters(k, d, covariance) * math.log(n)
 
 
-def silhouette_parts(df: DataFrame, id_col: str, features: list[str], label: str,
-                     weight: str | None = None, block_rows: int = PW.BLOCK_ROWS) -> DataFrame:
-    """Per row: a (mean distance inside its cluster), b (least mean distance
-    to another cluster) and s, exactly, by tiled distance sums."""
-    cols = [id_col, label] + features + ([weight] if weight else [])
-    pts = df.select(*[col(c) for c in cols])
-    if weight is None:
-        pts = pts.withColumn("__w", F.lit(1.0))
-        wname = "__w"
-    else:
-        wname = weight
-    pts = pts.withColumn(label, col(label).cast("long"))
-
-    def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "lab": pd.Series(dtype="int64"),
-                                 "swd": pd.Series(dtype="float64"),
-                                 "sw": pd.Series(dtype="float64")})
-        qx, rx = PW.matrix(q, features), PW.matrix(r, features)
-        labs, inv = np.unique(r[label].to_numpy(), return_inverse=True)
-        rw = r[wname].to_numpy(dtype=np.float64)
-        onehot = np.zeros((len(r), len(labs)))
-        onehot[np.arange(len(r)), inv] = rw
-        wsum = onehot.sum(axis=0)
-        parts = []
-        for s in range(0, len(q), PW.CHUNK):
-            d = np.sqrt(PW.sq_distances(qx[s:s + PW.CHUNK], rx))
-            parts.append(d @ onehot)
-        sums = np.vstack(parts)
-        m, k = sums.shape
-        return pd.DataFrame({
-            "qid": np.repeat(q[id_col].to_numpy(dtype=np.int64), k),
-            "lab": np.tile(labs.astype(np.int64), m),
-            "swd": sums.ravel(), "sw": np.tile(wsum, m)})
-
-    partial = PW.run_tiles(pts, id_col, features, kernel,
-                           "qid long, lab long, swd double, sw double", block_rows=block_rows)
-    per_label = partial.groupBy("qid", "lab").agg(F.sum("swd").alias("swd"),
-                                                  F.sum("sw").alias("sw"))
-    own = pts.select(col(id_col).alias("qid"), col(label).alias("own"),
-                     col(wname).cast("double").alias("w"))
-    j = per_label.join(own, "qid")
-    per_row = j.groupBy("qid", "own", "w").agg(
-        F.max(F.when(F.col("lab") == F.col("own"), F.col("swd"))).alias("s_own"),
-        F.max(F.when(F.col("lab") == F.col("own"), F.col("sw"))).alias("w_own"),
-        F.min(F.when(F.col("lab") != F.col("own"), F.col("swd") / F.col("sw"))).alias("b"))
-    a = F.when(F.col("w_own") > 1.0, F.col("s_own") / (F.col("w_own") - 1.0))
-    den = F.greatest(a, F.col("b"))
-    s = F.when(den > 0, (F.col("b") - a) / den).otherwise(F.lit(0.0))
-    return per_row.select(
-        "qid", "own", "w", a.alias("a"), F.col("b"),
-        F.when((F.col("w_own") <= 1.0) | F.col("b").isNull(), F.lit(0.0))
-         .otherwise(s).alias("s"))
-
-
 def silhouette(df: DataFrame, id_col: str, features: list[str], label: str = "prediction",
-               weight: str | None = None, block_rows: int = PW.BLOCK_ROWS) -> DataFrame:
-    """K1: exact Euclidean silhouette (weighted mean of per-row scores)."""
-    parts = silhouette_parts(df, id_col, features, label, weight, block_rows)
-    return parts.agg((F.sum(F.col("w") * F.col("s")) / F.sum("w")).alias("silhouette"))
-
-
-def silhouette_squared(df: DataFrame, features_vec: str = "features",
-                       label: str = "prediction") -> DataFrame:
-    """Cheap variant without pairs: Spark's squared-Euclidean silhouette."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    spark = df.sparkSession
-    v = ClusteringEvaluator(featuresCol=features_vec, predictionCol=label,
-                            distanceMeasure="squaredEuclidean").evaluate(df)
-    return spark.createDataFrame([(float(v),)], "silhouette_squared double")
+               weight: str | None = None, block_rows: int = B.ROWS) -> DataFrame:
+    """K1: exact Euclidean silhouette (weighted mean of per-row scores); every
+    unordered pair of blocks is computed once, see ``silhouettes``."""
+    from tabloom.operators.silhouettes import silhouettes
+    d = len(features)
+    blocks = B.pack(df, [*features, label], id_col, weight, block_rows)
+
+    def split(batches):
+        for b in B.iterate(batches):
+            cells = (b.ids, b.w, np.ascontiguousarray(b.x[:, :d]),
+                     np.ascontiguousarray(b.x[:, d:]).astype("<i4"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b.id]), pa.array([b.m], pa.int32()),
+                 *(pa.array([c.tobytes()], pa.binary()) for c in cells)],
+                names=["block", "m", "ids", "w", "x", "labels"])
+
+    found = silhouettes(blocks.with_table(blocks.table.mapInArrow(
+        split, B.FIELDS + ", labels binary")))
+    score = found[0][0] if found else None
+    if found and score is None:
+        score = 0.0  # one label: no other cluster to compare with
+    return df.sparkSession.createDataFrame([(score,)], "silhouette double")

@@ -74,8 +74,7 @@ def _e3(spark, sf):
             "ORDER BY traffic_control_device) - 1 END AS INTEGER) AS code FROM n")
 def _e4(spark, sf):
     df = crashes_n1(spark, sf).select("crash_id", "traffic_control_device")
-    values = E.fit_categories(df, ["traffic_control_device"])["traffic_control_device"]
-    return df.withColumn("code", E.label_codes("traffic_control_device", values))
+    return E.encode_labels(df, "traffic_control_device")
 
 
 @register("e5_feature_names", _with(
