@@ -70,3 +70,46 @@ def test_path_that_ends_in_a_line_break(spark):
     df = spark.createDataFrame([("h", "/p/\n"), ("h", "/p//")], "host string, path string")
     got = [r[0] for r in df.select(url_filter.canonical(F.col("host"), F.col("path"))).collect()]
     assert got == ["h/p/\n", "h/p"]
+
+
+def test_score_is_that_of_the_fitted_weights(spark, monkeypatch):
+    """Scores recomputed word by word from the weights and counts."""
+    import numpy as np
+
+    from tabloom.llm import lm
+    kept = {}
+    fit = lm.fit
+
+    def keep(coded, sent, *more):
+        kept["v"], kept["w"] = sent.value, fit(coded, sent, *more)
+        return kept["w"]
+
+    monkeypatch.setattr(lm, "fit", keep)
+    monkeypatch.setattr(lm, "FREQUENT", 150)
+    vocabulary = lm.vocabulary
+    monkeypatch.setattr(lm, "vocabulary", lambda counts: vocabulary(counts, 150))
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{int(k) % 400}" for k in rng.zipf(1.3, 40))) for i in range(60)]
+    rows += [(60, ""), (61, None), (62, "w1"), (63, "never seen before")]
+    got = {r["doc_id"]: r for r in lm.score(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    v, w = kept["v"], lm.Weights(kept["v"], kept["w"])
+    train = Counter(t for i, text in rows if not got[i]["held_out"] for t in [*lm.words(text), b""])
+    codes = lm.Codes(v.frequent)
+    for i, text in rows:
+        total, before = 0.0, [v.start] * lm.CONTEXT
+        for t in [*lm.words(text), b""]:
+            code = codes[t]
+            h = sum(w.r[before[-1 - k]].astype(float) * w.c[k] for k in range(lm.CONTEXT))
+            z = w.q.astype(float) @ h + w.bias
+            z -= z.max()
+            total += (z[v.out_of[code]] - np.log(np.exp(z).sum())) / np.log(10)
+            unit = lm._class_of(t)
+            if code >= len(v.frequent):
+                total += (np.log10((train[t] - v.cut[unit]) / v.size[unit]) if train[t]
+                          else v.log_unknown[unit])
+            else:
+                total += v.log_inside[code]
+            before.append(v.in_of[code])
+        assert got[i]["score"] == pytest.approx(total, rel=1e-4), i
+    assert len(v.frequent) == 150 < len(train)
