@@ -50,6 +50,7 @@ def get_spark(master: str | None = None, app: str = "tabloom",
     spark.sparkContext.setLogLevel("ERROR")
     for k in ("spark.sql.session.timeZone",):
         spark.conf.set(k, conf[k])
+    ship_package(spark)
     return spark
 
 
