@@ -20,7 +20,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = 1024  # whole texts that a Python worker holds at a time
+BATCH_ROWS = 256  # whole texts that a Python worker holds at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

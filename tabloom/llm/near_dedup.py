@@ -48,7 +48,7 @@ BAND_MISS = 3e-7      # chance that a pair at the threshold shares no band key
 BATCH = 32            # min-hashes compared at a time
 MISS = 1e-6           # chance of pruning a pair that reaches the threshold
 PIVOTS = 4
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 FEW_EDGES = 400_000   # edges of 16 bytes that one task closes to components
 SMALL = 24            # members of a bucket whose pairs are made as rows
 BLOCK = 256           # members of a block of a larger bucket
