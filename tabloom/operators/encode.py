@@ -12,6 +12,8 @@ values; ``one_hot_vector`` has no such limit and feeds the models.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,3 +138,13 @@ def feature_names(df: DataFrame, vector: str = "features") -> list[str]:
     attrs = meta.get("attrs", {})
     slots = [a for group in attrs.values() for a in group]
     return [a["name"] for a in sorted(slots, key=lambda a: a["idx"])]
+
+
+def slot_names(df: DataFrame, cols: list[str], vector: str = "features") -> list[str]:
+    """E5 for ``one_hot_vector``: a numeric column's name, or
+    ``<column>_<value>`` for a slot of one of ``cols``."""
+    out = []
+    for name in feature_names(df, vector):
+        made = re.match(r"__i(\d+)hs?_(.*)", name, re.S)
+        out.append(f"{cols[int(made[1])]}_{made[2]}" if made else name)
+    return out

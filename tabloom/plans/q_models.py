@@ -223,6 +223,32 @@ def _r1(spark, sf):
           round(float(model.summary.r2), 6))], "slope double, intercept double, r2 double")
 
 
+# Weights on standardised features of two columns, one of them given twice, in
+# closed form: the repeated column's weight is shared equally.
+_MIN_NORM = """m AS (SELECT var_pop(l_quantity) AS vq, var_pop(l_discount) AS vd,
+  covar_pop(l_quantity, l_discount) AS qd, covar_pop(l_quantity, l_extendedprice / 1000.0) AS qy,
+  covar_pop(l_discount, l_extendedprice / 1000.0) AS dy FROM pr),
+b AS (SELECT sqrt(vq) * (vd * qy - qd * dy) / (vq * vd - qd * qd) AS q,
+  sqrt(vd) * (vq * dy - qd * qy) / (vq * vd - qd * qd) AS d FROM m),
+w AS (SELECT 'dozens' AS feature, q / 2 AS weight FROM b UNION ALL SELECT 'l_quantity', q / 2 FROM b
+  UNION ALL SELECT 'l_discount', d FROM b)"""
+
+
+@register("r2_least_norm_weights", f"WITH pr AS ({PRICES}), {_MIN_NORM} SELECT feature, "
+          "round(weight, 6) AS weight, round(abs(weight), 6) AS importance FROM w")
+def _r2n(spark, sf):
+    """R1/R2 on a singular design: the quantity stands there twice, in two
+    units.  Weights of least norm against the normal equations in SQL."""
+    from tabloom.operators.least_squares import fit_least_norm
+    from tabloom.operators.supervised import coefficient_table
+    names = ["l_quantity", "dozens", "l_discount"]
+    df = S.prices(spark, sf).select(
+        "l_quantity", (F.col("l_quantity") / 12.0).alias("dozens"), "l_discount",
+        (F.col("l_extendedprice") / 1000.0).alias("label"))
+    fit = fit_least_norm(cut_lineage(E.assemble(df, names).select("features", "label")), len(names))
+    return _round_all(coefficient_table(spark, names, list(fit.coefficients)))
+
+
 @register("price_regression")
 def _reg(spark, sf):
     """Lifecycle B on the price frame: leakage-free features, one-hot

@@ -12,10 +12,13 @@ exact 80/20 split by key hash (X1) -> population z-scores fitted on train
 (Z1) -> least squares (R1) -> coefficient table (R2, T1, T2) -> test
 predictions -> R², MAE, MSE, RMSE and verdict (V2-V5).
 
-Jobs: category list, medians (of the numeric columns; a dummy is never
-missing), split cut, scaler, X'X, metrics -- each an aggregate with small
-output.  The encoded frame is checkpointed once because every later step
-reads it.
+The dummies are slots of one sparse vector, so their number has no limit;
+scaling is applied to the weights, not to the rows, and collinear dummies get
+the weights of least norm (``operators/least_squares``).  Jobs: category
+list, medians (of the numeric columns; a dummy is never missing), split cut,
+moments, products, metrics -- each an aggregate with small output.  The
+encoded frame is checkpointed once because every later step reads it.
+``encoded_frame`` and ``fit_and_score`` are the form with a column per dummy.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.functions.dates import duration_minutes, expand_date_parts, lenient_parse
 from tabloom.operators.columns import col, drop_tolerant, leakage_guard, string_columns
-from tabloom.operators.encode import assemble, dummy_names, fit_categories, get_dummies
+from tabloom.operators.encode import (assemble, dummy_names, fit_categories, get_dummies,
+                                      one_hot_vector, slot_names)
+from tabloom.operators.least_squares import fit_least_norm, predict_linear
 from tabloom.operators.metrics import fit_verdict, regression_metrics
 from tabloom.operators.missing import fill_values, fit_medians
 from tabloom.operators.rows import drop_rows_any_missing, open_range
@@ -96,9 +101,36 @@ def fit_and_score(frame: DataFrame, names: list[str], keys: list[str], target: s
             "intercept": float(model.intercept)}
 
 
+def sparse_frame(df: DataFrame, keys: list[str], target: str, numeric: list[str],
+                 categorical: list[str]):
+    """(frame of keys, target, split flag and one sparse vector ``features``;
+    its slot names): E2 with any number of categories, N2, X1."""
+    kept = df.select(*[col(c) for c in keys], *[col(c).cast("double").alias(c) for c in numeric],
+                     *[col(c) for c in categorical], col(target))
+    kept = fill_values(kept, fit_medians(kept, numeric))
+    enc = one_hot_vector(kept, categorical, numeric, drop_first=True)
+    names = slot_names(enc, categorical)
+    return split_exact(enc.select(*[col(c) for c in keys], col(target), "features"),
+                       keys, seed=42, train_size=0.8), names
+
+
+def score_sparse(frame: DataFrame, names: list[str], keys: list[str], target: str) -> dict:
+    """Least squares of least norm on scaled train features (Z1, R1), the
+    coefficient table, and the scores on test."""
+    spark = frame.sparkSession
+    frame = cut_lineage(frame)
+    train, test = train_test(frame)
+    fit = fit_least_norm(train, len(names), label=target)
+    preds = predict_linear(test, fit).select(*[col(k) for k in keys], col(target).alias("label"),
+                                             "prediction")
+    return {"metrics": fit_verdict(regression_metrics(preds, "label", "prediction")),
+            "coefficients": coefficient_table(spark, names, list(fit.coefficients), k=10),
+            "predictions": preds, "intercept": fit.intercept, "fit": fit}
+
+
 def price_regression(spark: SparkSession, sf_dir: str) -> dict:
-    frame, names = regression_frame(S.prices(spark, sf_dir))
-    return fit_and_score(frame, names, PRICE_KEYS, TARGET)
+    frame, names = sparse_frame(S.prices(spark, sf_dir), PRICE_KEYS, TARGET, NUMERIC, CATEGORICAL)
+    return score_sparse(frame, names, PRICE_KEYS, TARGET)
 
 
 def duration_regression(accidents: DataFrame) -> dict:
@@ -109,5 +141,5 @@ def duration_regression(accidents: DataFrame) -> dict:
     df = cut_lineage(duration_frame(accidents))
     text = [c for c in string_columns(df) if c != ACCIDENT_KEY]
     numeric = [c for c in df.columns if c not in (*text, ACCIDENT_KEY, DURATION)]
-    frame, names = encoded_frame(df, [ACCIDENT_KEY], DURATION, numeric, text)
-    return fit_and_score(frame, names, [ACCIDENT_KEY], DURATION)
+    frame, names = sparse_frame(df, [ACCIDENT_KEY], DURATION, numeric, text)
+    return score_sparse(frame, names, [ACCIDENT_KEY], DURATION)
