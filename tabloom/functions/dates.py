@@ -20,6 +20,8 @@ DATETIME_NAME_SKIP = frozenset({"timezone"})
 # Lenient parse: ISO forms through the cast (date, date time, 'T'
 # separator, up to nine fraction digits), then these patterns in order.
 LENIENT_FORMATS = ("MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy")
+# The same with the day first, for columns whose values vote for it.
+DAY_FIRST_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy")
 
 _TS_TYPES = (T.TimestampType, T.TimestampNTZType)
 
@@ -45,15 +47,47 @@ def strict_parse(c: Column | str, fmt: str = STRICT_FORMAT) -> Column:
     return parse_ntz(c.cast("string"), fmt)
 
 
-def lenient_parse(c: Column | str) -> Column:
-    """``to_datetime(errors='coerce')``: any known form, else missing."""
+def lenient_parse(c: Column | str, day_first: bool = False) -> Column:
+    """``to_datetime(errors='coerce')``: any known form, else missing.  Text
+    with the day and the month in the other order is missing."""
     c = F.col(c) if isinstance(c, str) else c
     s = F.trim(c.cast("string"))
     tries = [s.try_cast("timestamp_ntz")]
-    tries += [parse_ntz(s, f) for f in LENIENT_FORMATS]
+    tries += [parse_ntz(s, f) for f in (DAY_FIRST_FORMATS if day_first else LENIENT_FORMATS)]
     return F.coalesce(*tries)
 
 
+def format_mask(c: Column | str) -> Column:
+    """Which forms a text fits, as bits: 1 ISO, then the month-first patterns,
+    then the day-first ones.  Zero fits none; missing text is missing.  Only
+    text with two slashes is tried against the patterns."""
+    c = F.col(c) if isinstance(c, str) else c
+    s = F.trim(c.cast("string"))
+    bits = sum((F.when(parse_ntz(s, f).isNotNull(), 2 << i).otherwise(0)
+                for i, f in enumerate(LENIENT_FORMATS + DAY_FIRST_FORMATS)), F.lit(0))
+    return (F.when(s.isNull(), None).when(s.rlike("^[0-9]+/[0-9]+/"), bits)
+            .otherwise(s.try_cast("timestamp_ntz").isNotNull().cast("int")))
+
+
+MONTH_BITS = sum(2 << i for i in range(len(LENIENT_FORMATS)))
+DAY_BITS = MONTH_BITS << len(LENIENT_FORMATS)
+
+
+def vote_aggregates(c: Column | str, name: str) -> list[Column]:
+    """Aggregates of a text column: ``<name>_all``, the forms that fit every
+    value of a known form, and the values for either order of day and month."""
+    mask = format_mask(c)
+    return [F.bit_and(F.when(mask > 0, mask)).alias(f"{name}_all"),
+            F.count_if(mask.bitwiseAND(MONTH_BITS) > 0).alias(f"{name}_month"),
+            F.count_if(mask.bitwiseAND(DAY_BITS) > 0).alias(f"{name}_day")]
+
+
+def votes_day_first(row, name: str) -> bool:
+    """The order that fits more of the column's values; month first if equal,
+    as when no value tells them apart."""
+    return row[f"{name}_day"] > row[f"{name}_month"]
+
+
 def _q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -74,19 +108,24 @@ def parse_datetime_columns(df: DataFrame, cols: list[str] | None = None,
     """Strict parse; a column whose missing share after the strict
     parse is above ``share`` is parsed again leniently as a whole.
 
-    One aggregate job measures every column's share; the result is a single
-    lazy projection.
+    One aggregate job measures every column's share and lets its values vote
+    on the order of day and month; the result is a single lazy projection.
     """
     cols = datetime_like_columns(df) if cols is None else [c for c in cols if c in df.columns]
     if not cols:
         return df
     strict = {c: _as_timestamp(df, c, strict_parse(_q(c), fmt)) for c in cols}
-    shares = df.agg(*[F.avg(strict[c].isNull().cast("double")).alias(c) for c in cols]).first()
+    votes = [v for i, c in enumerate(cols) if not is_datetime(df, c)
+             for v in vote_aggregates(_q(c), f"v{i}")]
+    row = df.agg(*[F.avg(strict[c].isNull().cast("double")).alias(f"s{i}")
+                   for i, c in enumerate(cols)], *votes).first()
     exprs = {}
-    for c in cols:
-        frac = shares[c]
-        lenient = frac is not None and frac > share
-        exprs[c] = _as_timestamp(df, c, lenient_parse(_q(c))) if lenient else strict[c]
+    for i, c in enumerate(cols):
+        frac = row[f"s{i}"]
+        if frac is not None and frac > share and not is_datetime(df, c):
+            exprs[c] = lenient_parse(_q(c), votes_day_first(row, f"v{i}"))
+        else:
+            exprs[c] = strict[c]
     return df.withColumns(exprs)
 
 

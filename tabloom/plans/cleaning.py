@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.dates import (LENIENT_AFTER_SHARE, STRICT_FORMAT, add_time_features,
                                      datetime_like_columns, is_datetime, lenient_parse,
-                                     strict_parse)
+                                     strict_parse, vote_aggregates, votes_day_first)
 from tabloom.functions.units import convert_imperial_to_metric
 from tabloom.operators.columns import col, drop_tolerant, missing_flag
 from tabloom.operators.rows import drop_rows_any_missing
@@ -34,15 +34,18 @@ DROP_MISSING_COL_THRESHOLD = 0.40
 
 def plan_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
                   share: float = LENIENT_AFTER_SHARE, fmt: str = STRICT_FORMAT):
-    """One aggregate job -> ({date column: "strict" | "lenient"}, dropped columns)."""
+    """One aggregate job -> ({date column: "strict" | "lenient" | "day_first"}, dropped
+    columns)."""
     dates = [c for c in datetime_like_columns(df) if not is_datetime(df, c)]
     parsed_strict = {c: strict_parse(col(c), fmt) for c in dates}
-    parsed_lenient = {c: lenient_parse(col(c)) for c in dates}
+    parsed_lenient = {c: [lenient_parse(col(c), d) for d in (False, True)] for c in dates}
     exprs = []
     for i, c in enumerate(df.columns):
         if c in parsed_strict:
             exprs.append(F.avg(parsed_strict[c].isNull().cast("double")).alias(f"s{i}"))
-            exprs.append(F.avg(parsed_lenient[c].isNull().cast("double")).alias(f"l{i}"))
+            exprs += [F.avg(p.isNull().cast("double")).alias(f"l{i}_{d}")
+                      for d, p in enumerate(parsed_lenient[c])]
+            exprs += vote_aggregates(col(c), f"v{i}")
         else:
             exprs.append(F.avg(missing_flag(df, c).cast("double")).alias(f"m{i}"))
     row = df.agg(*exprs).first()
@@ -51,8 +54,9 @@ def plan_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
         if c in parsed_strict:
             strict_share = row[f"s{i}"]
             lenient = strict_share is not None and strict_share > share
-            chosen[c] = "lenient" if lenient else "strict"
-            miss = row[f"l{i}"] if lenient else strict_share
+            day = lenient and votes_day_first(row, f"v{i}")
+            chosen[c] = "day_first" if day else "lenient" if lenient else "strict"
+            miss = row[f"l{i}_{int(day)}"] if lenient else strict_share
         else:
             miss = row[f"m{i}"]
         if miss is not None and miss > threshold:
@@ -65,7 +69,7 @@ class CleaningPlan:
     """What the data decided: parse mode per date-like text column, and the
     sparse columns to drop.  Small, serialisable, reusable on new data
     (e.g. a stream) without touching old data again."""
-    parse: dict            # column -> "strict" | "lenient"
+    parse: dict            # column -> "strict" | "lenient" | "day_first"
     dropped: tuple
     text_columns: tuple = TEXT_DROP_CANDIDATES
     fmt: str = STRICT_FORMAT
@@ -82,7 +86,8 @@ def fit_cleaning(df: DataFrame, threshold: float = DROP_MISSING_COL_THRESHOLD,
 def apply_cleaning(df: DataFrame, plan: CleaningPlan) -> DataFrame:
     """Projection + filter only (no job): works on batch and streaming frames."""
     df = drop_tolerant(df, list(plan.text_columns))
-    exprs = {c: (lenient_parse(col(c)) if mode == "lenient" else strict_parse(col(c), plan.fmt))
+    exprs = {c: (strict_parse(col(c), plan.fmt) if mode == "strict" else
+                 lenient_parse(col(c), mode == "day_first"))
              for c, mode in plan.parse.items() if c in df.columns}
     df = df.withColumns(exprs).drop(*plan.dropped)
     df = drop_rows_any_missing(df)

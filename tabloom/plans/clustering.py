@@ -20,7 +20,7 @@ from tabloom.operators.encode import dummies, fit_categories
 from tabloom.operators.rows import drop_rows_any_missing
 from tabloom.operators.metrics import calinski_harabasz, davies_bouldin, silhouette
 from tabloom.operators.scale import apply_scaler, fit_scaler
-from tabloom.operators.split import bootstrap
+from tabloom.operators.resample import bootstrap_by_content
 from tabloom.session import cut_lineage
 
 # Fixed values of the reference: the 29 names the clustering scripts drop,
@@ -46,31 +46,36 @@ DBSCAN = {"eps": 4.620325164403749, "min_samples": 17}
 BIRCH = {"threshold": 2.8985317784980644, "branching_factor": 222, "n_clusters": 3}
 
 
-def cluster_features(processed: DataFrame):
-    """(scaled feature frame, feature names).
+def raw_features(processed: DataFrame) -> DataFrame:
+    """The features before scaling.
 
-    Rows with a missing kept feature are dropped before scaling: cleaning
-    drops incomplete rows before the unit conversion, so text that is not a
-    number still arrives here as a missing value, which no model accepts."""
+    Rows with a missing kept feature are dropped: cleaning drops incomplete
+    rows before the unit conversion, so text that is not a number still
+    arrives here as a missing value, which no model accepts."""
     reduced = drop_strict(processed, CLUSTER_DROP)
     cats = fit_categories(reduced, [DUMMY_COLUMN])
     dummy = dummies(cats, drop_first=True, prefix={DUMMY_COLUMN: DUMMY_COLUMN}, dtype="double")
     num = [col(c).cast("double").alias(c) for c in CLUSTER_NUMERIC]
     flags = [col(c).cast("int").cast("double").alias(c) for c in CLUSTER_BOOL]
-    frame = drop_rows_any_missing(reduced.select(*num, *flags, *dummy))
-    names = frame.columns
-    frame = apply_scaler(frame, fit_scaler(frame, names))
-    return frame, names
+    return drop_rows_any_missing(reduced.select(*num, *flags, *dummy))
+
+
+def cluster_features(processed: DataFrame):
+    """(scaled feature frame, feature names)."""
+    frame = raw_features(processed)
+    return apply_scaler(frame, fit_scaler(frame, frame.columns)), frame.columns
 
 
 def cluster_sample(processed: DataFrame, n: int = SAMPLE_ROWS, seed: int = SEED):
     """(weighted sample with row_id, weight, features; feature names).
 
-    The scaler is fitted on all rows before sampling, as in the reference.
+    The scaler is fitted on all rows, as in the reference; the sample is drawn
+    by the rows' contents before scaling, so it does not depend on partitions.
     """
-    frame, names = cluster_features(processed)
-    sample = bootstrap(frame, n, seed=seed, row_id="row_id")
-    return cut_lineage(sample), names
+    frame = raw_features(processed)
+    names = frame.columns
+    sample = bootstrap_by_content(frame, n, seed=seed, row_id="row_id")
+    return cut_lineage(apply_scaler(sample, fit_scaler(frame, names))), names
 
 
 def scores(labelled: DataFrame, names: list[str], model: str, label: str = "prediction",

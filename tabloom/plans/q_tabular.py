@@ -375,6 +375,32 @@ def _d5(spark, sf):
     return S.events(spark, sf).select("event_id", D.date_parts("ts")["dayofweek"].alias("dayofweek"))
 
 
+_VOTED = {"placed_date": "%d/%m/%Y", "rare_date": "%d/%m/%Y", "due_time": "%m/%d/%Y %H:%M"}
+
+
+def _voted_sql(name: str, fmt: str) -> str:
+    """The column by the order of day and month that fits more of its texts."""
+    tail = fmt[len("%d/%m/%Y"):]
+    month, day = (f"try_strptime({name}, '{order}/%Y{tail}')" for order in ("%m/%d", "%d/%m"))
+    return (f"CASE WHEN (SELECT count({day}) > count({month}) FROM t) THEN {day} ELSE {month} END "
+            f"AS {name}")
+
+
+@register("d1_format_votes", """WITH t AS (SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS placed_date,
+  CASE WHEN day(o_orderdate) <= 12 OR o_totalprice > 300000
+    THEN strftime(o_orderdate, '%d/%m/%Y') END AS rare_date,
+  strftime(o_orderdate, '%m/%d/%Y %H:%M') AS due_time FROM orders)
+SELECT o_orderkey, """ + ", ".join(_voted_sql(c, f) for c, f in _VOTED.items()) + " FROM t")
+def _d1v(spark, sf):
+    """D1 on texts in both orders; in ``rare_date`` few rows tell which."""
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    df = S.load_table(spark, sf, "orders").select(
+        "o_orderkey", day.alias("placed_date"),
+        F.when((F.dayofmonth("o_orderdate") <= 12) | (F.col("o_totalprice") > 300000), day)
+        .alias("rare_date"), F.date_format("o_orderdate", "MM/dd/yyyy HH:mm").alias("due_time"))
+    return D.parse_datetime_columns(df)
+
+
 @register("d6_duration_minutes", _with(a=ACC, b=LENIENT_BOTH)
           + """SELECT "ID", date_diff('microsecond', "Start_Time", "End_Time") / 6e7 AS minutes
           FROM b""")
