@@ -71,8 +71,11 @@ def cluster_sample(processed: DataFrame, n: int = SAMPLE_ROWS, seed: int = SEED)
 
     The scaler is fitted on all rows, as in the reference; the sample is drawn
     by the rows' contents before scaling, so it does not depend on partitions.
+    The raw features are staged once: the counts, the drawn rows and the scaler
+    each read them, and the cleaning's expressions beside the digest's would
+    outgrow one compiled method.
     """
-    frame = raw_features(processed)
+    frame = cut_lineage(raw_features(processed))
     names = frame.columns
     sample = bootstrap_by_content(frame, n, seed=seed, row_id="row_id")
     return cut_lineage(apply_scaler(sample, fit_scaler(frame, names))), names
