@@ -53,3 +53,22 @@ def test_cleaning_plan_takes_the_vote(spark):
     assert out.count() == 28 and out.first()["start_month"] == 4
     empty = cleaning.fit_cleaning(df.where("x = 2"))
     assert empty.parse == {"Start_Time": "strict"}
+
+
+def test_mask_tells_what_either_parse_loses(spark):
+    texts = [*AMBIGUOUS, "25/12/2024", "12/25/2024 10:30", "30/02/2024", "02/29/1900", "13/13/2024",
+             "03/04/12024", "03/04/+2024", "03/04/0000", "3/4/2024", "1/2/2024x", " 03/04/2024 ",
+             "03/04/2024 24:00", "03/04/2024 10:3", "a/b", "/", "2024-01-01T10:11:12.123456789",
+             "2024-01-01 10:11:12/1", "", "x", None]
+    df = column(spark, texts)
+    for day_first in (False, True):
+        rows = df.select(
+            "Start_Time", dates.lenient_parse("Start_Time", day_first).isNull().alias("a"),
+            dates.mask_fails(dates.format_mask("Start_Time"), day_first).alias("b"),
+            F.coalesce(F.trim("Start_Time").try_cast("timestamp_ntz"), *[
+                dates.parse_ntz(F.trim("Start_Time"), f) for f in (
+                    dates.DAY_FIRST_FORMATS if day_first else dates.LENIENT_FORMATS)]).cast(
+                    "string").alias("old"),
+            dates.lenient_parse("Start_Time", day_first).cast("string").alias("new")).collect()
+        assert [r["a"] for r in rows] == [r["b"] for r in rows]
+        assert [r["old"] for r in rows] == [r["new"] for r in rows]
