@@ -122,14 +122,15 @@ register("clean_accidents", CLEAN_WITH + "SELECT * FROM c")(cleaned)
 @register("clean_accidents_stream", CLEAN_WITH + "SELECT * FROM c")
 def _stream(spark, sf):
     """The cleaning plan fitted on the table, then applied by a Structured
-    Streaming query to the same rows arriving as parquet files."""
+    Streaming query to the same rows arriving as parquet files.  The table is
+    built once, as these files: the fit reads them, too."""
     from tabloom.plans.cleaning import fit_cleaning
     from tabloom.session import scratch_path
     from tabloom.streaming.cleaning import run_to_completion
     raw = S.accidents(spark, sf)
-    plan = fit_cleaning(raw)
     src = scratch_path(spark, "accidents-files")
     raw.write.parquet(src)
+    plan = fit_cleaning(spark.read.schema(raw.schema).parquet(src))
     return run_to_completion(spark, src, raw.schema, plan)
 
 # ------------------------------------------------------- sources and sinks
